@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import FloatType, IntegerType, StructType, TimestampType
+from pyspark.sql.types import FloatType, IntegerType, TimestampType
 
 from tripflow.operators.anomaly import detect, hour_stats, score
 from tripflow.operators.clean import clean
@@ -333,7 +333,7 @@ def stream_json_topics(spark, sf_dir):
     records = topic_records(events(spark, sf_dir))
     values = F.to_json(F.struct("timestamp", "key", "value", "props"))
     records.select("topic", values.alias("value")).write.partitionBy("topic").text(folder)
-    schema = StructType.fromDDL("timestamp timestamp, key bigint, value double, props string")
+    schema = "timestamp timestamp, key bigint, value double, props string"
     rows, _ = _sunk(spark, parse_values(file_topics(spark, folder), schema))
     return _bucket_counts(rows)
 

@@ -1,0 +1,140 @@
+"""Edges of the cleaning predicates and of the projection."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tripflow.functions.identity import content_id, source_row_id
+from tripflow.operators.clean import clean
+from tripflow.schemas import RAW_TRIPS, TRIPS
+from tripflow.sources.raw import read_raw
+
+NOON = dt.datetime(2024, 3, 5, 12, 30)
+GOOD = {
+    "VendorID": 1,
+    "tpep_pickup_datetime": NOON,
+    "tpep_dropoff_datetime": NOON + dt.timedelta(minutes=9),
+    "passenger_count": 2,
+    "trip_distance": 1.5,
+    "RatecodeID": 1,
+    "payment_type": 1,
+    "fare_amount": 10.0,
+    "extra": 0.0,
+    "mta_tax": 0.5,
+    "tip_amount": 1.0,
+    "tolls_amount": 0.0,
+    "total_amount": 11.5,
+}
+NAN = float("nan")
+CASES = [
+    ({}, True),
+    ({"fare_amount": None}, False),
+    ({"fare_amount": -1.0}, False),
+    ({"fare_amount": 0.0}, False),
+    ({"fare_amount": 0.01}, True),
+    ({"fare_amount": NAN}, True),
+    ({"trip_distance": None}, False),
+    ({"trip_distance": -1.0}, False),
+    ({"trip_distance": 0.0}, False),
+    ({"trip_distance": 0.01}, True),
+    ({"trip_distance": NAN}, True),
+    ({"passenger_count": None}, False),
+    ({"passenger_count": 0}, False),
+    ({"passenger_count": 1}, True),
+    ({"passenger_count": 8}, True),
+    ({"passenger_count": 9}, False),
+    ({"tpep_pickup_datetime": None}, False),
+    ({"tpep_dropoff_datetime": None}, True),
+    ({"tpep_dropoff_datetime": NOON - dt.timedelta(hours=1)}, True),
+    ({"tpep_pickup_datetime": dt.datetime(2002, 1, 1)}, True),
+    ({"RatecodeID": 99, "payment_type": None, "VendorID": 7}, True),
+]
+
+
+def raw_rows(spark, cases):
+    schema = StructType([StructField("case", LongType()), *RAW_TRIPS.fields])
+    rows = [
+        (i, *[{**GOOD, **change}[f.name] for f in RAW_TRIPS.fields])
+        for i, change in enumerate(cases)
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+def test_edges(spark):
+    raw = raw_rows(spark, [c for c, _ in CASES])
+    kept = {r["trip_id"] for r in clean(raw, F.col("case")).collect()}
+    assert kept == {i for i, (_, stays) in enumerate(CASES) if stays}
+
+
+def test_nan_policy(spark):
+    raw = raw_rows(spark, [c for c, _ in CASES])
+    kept = {r["trip_id"] for r in clean(raw, F.col("case"), nan="drop").collect()}
+    nans = {i for i, (c, _) in enumerate(CASES) if any(v != v for v in c.values())}
+    assert kept == {i for i, (_, stays) in enumerate(CASES) if stays} - nans
+    with pytest.raises(ValueError):
+        clean(raw, nan="other")
+
+
+def test_columns_types_and_parts(spark):
+    trips = clean(raw_rows(spark, [{}]))
+    assert [(f.name, f.dataType) for f in trips.schema] == [
+        (f.name, f.dataType) for f in TRIPS.columns
+    ]
+    row = trips.first()
+    assert (row.pickup_year, row.pickup_month, row.pickup_day, row.pickup_hour) == (2024, 3, 5, 12)
+    assert row.vendor_id == 1 and row.rate_code == 1
+    assert row.pickup_longitude is None and row.dropoff_latitude is None
+
+
+def test_text_timestamps(spark):
+    raw = raw_rows(spark, [{}, {}]).withColumn(
+        "tpep_pickup_datetime",
+        F.when(F.col("case") == 0, "2024-03-05 12:30:00").otherwise("no date"),
+    )
+    assert [r.trip_id for r in clean(raw, F.col("case")).collect()] == [0]
+
+
+def test_overflow_raises(spark):
+    with pytest.raises(PySparkException):
+        clean(raw_rows(spark, [{"payment_type": 2**40}])).collect()
+
+
+def test_default_ids_number_surviving_rows(spark):
+    raw = raw_rows(spark, [{"fare_amount": 0.0}, {}, {}]).coalesce(1)
+    assert [r.trip_id for r in clean(raw).collect()] == [0, 1]
+
+
+def test_source_ids_are_unique_and_stable(spark, folder):
+    raw_rows(spark, [{}] * 50).drop("case").repartition(4).write.parquet(folder)
+    first = sorted(r.trip_id for r in clean(read_raw(spark, folder), source_row_id()).collect())
+    again = clean(read_raw(spark, folder).repartition(7), None)
+    second = sorted(r.trip_id for r in clean(read_raw(spark, folder), source_row_id()).collect())
+    assert first == second and len(set(first)) == 50 and again.count() == 50
+
+
+def test_content_ids(spark):
+    raw = raw_rows(spark, [{}, {}, {"fare_amount": 3.0}])
+    names = [f.name for f in RAW_TRIPS.fields]
+    ids = [r.trip_id for r in clean(raw, content_id(*names)).orderBy("fare_amount").collect()]
+    assert len(set(ids)) == 2
+
+
+def test_scan_prunes_and_pushes(spark, folder, capsys):
+    raw = raw_rows(spark, [{}]).withColumn("store_and_fwd_flag", F.lit("N"))
+    raw.write.parquet(folder)
+    inferred = read_raw(spark, folder, schema=None)
+    assert "store_and_fwd_flag" in inferred.columns
+    clean(inferred).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "store_and_fwd_flag" not in plan.split("ReadSchema")[1]
+    for pushed in (
+        "GreaterThan(fare_amount,0.0)",
+        "GreaterThan(trip_distance,0.0)",
+        "GreaterThanOrEqual(passenger_count,1)",
+        "LessThanOrEqual(passenger_count,8)",
+    ):
+        assert pushed in plan
+    assert "Exchange" not in plan

@@ -5,10 +5,12 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from pyspark.sql import SparkSession
+
 from tripflow.plans import jobs
 from tripflow.schemas import TRIPS
 from tripflow.session import build_session
-from tripflow.sources.topics import file_topics, kafka_topics
+from tripflow.sources.topics import file_topics, kafka_topics, parse_values
 from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.sink import time_partitioned_sink
 from tripflow.tables.catalog import NAMESPACE, create_tables
@@ -70,16 +72,12 @@ def main() -> None:
     spark.stop()
 
 
-def _sink(spark, args) -> None:
-    from pyspark.sql.types import StructType
-
-    from tripflow.sources.topics import parse_values
-
+def _sink(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.servers:
         records = kafka_topics(spark, args.servers)
     else:
         records = file_topics(spark, args.files)
-    values = parse_values(records, StructType.fromDDL(args.schema))
+    values = parse_values(records, args.schema)
     time_partitioned_sink(values, args.path, args.checkpoint).awaitTermination()
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The range of an hour of day.
+HOURS_OF_DAY = (0, 23)
+
 
 def calendar_columns(ts: str, prefix: str) -> dict[str, Column]:
     """`<prefix>_year`, `_month`, `_day` and `_hour` of the timestamp column `ts`."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.calendar import HOURS_OF_DAY
 from tripflow.functions.identity import event_id as make_event_id
 from tripflow.functions.scores import (
     SEVERITY_STEPS,
@@ -16,9 +17,6 @@ from tripflow.functions.scores import (
 )
 from tripflow.schemas import ANOMALIES
 
-# The range of an hour of day.
-HOURS = (0, 23)
-
 
 def hour_stats(trips: DataFrame) -> DataFrame:
     """Mean and sample deviation of the fare per hour of day, over all dates: at most 24 rows.
@@ -27,7 +25,7 @@ def hour_stats(trips: DataFrame) -> DataFrame:
     in `score` rests, and reaches the scan. A NULL hour would match no trip anyway.
     """
     return (
-        trips.filter(F.col("pickup_hour").between(*HOURS))
+        trips.filter(F.col("pickup_hour").between(*HOURS_OF_DAY))
         .groupBy("pickup_hour")
         .agg(
             F.avg("fare_amount").alias("mean_fare"),

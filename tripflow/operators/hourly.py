@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tripflow.functions.calendar import HOURS_OF_DAY
 from tripflow.operators.quantile import exact_quantile
 from tripflow.schemas import HOURLY
 
@@ -57,13 +58,13 @@ def hourly(trips: DataFrame, p95: str = "approx", moments: bool = False) -> Data
 def hour_stats_from(hours: DataFrame) -> DataFrame:
     """Mean and sample deviation of the fare per hour of day, merged from the hours' moments.
 
-    Works on one row per calendar hour, so the window below holds one row per day.
+    Works on one row per calendar hour, so the window below holds one row per day. At most 24
+    rows come out.
     """
+    hours = hours.filter(F.col("pickup_hour").between(*HOURS_OF_DAY) & (F.col("fare_count") > 0))
     mean = F.sum(F.col("fare_count") * F.col("fare_mean")).over(W.partitionBy("pickup_hour"))
     count = F.sum("fare_count").over(W.partitionBy("pickup_hour"))
-    shifted = hours.filter(F.col("fare_count") > 0).withColumn(
-        "shift", F.col("fare_mean") - mean / count
-    )
+    shifted = hours.withColumn("shift", F.col("fare_mean") - mean / count)
     total = F.sum("fare_count")
     squares = F.sum(F.col("fare_squares") + F.col("fare_count") * F.pow("shift", F.lit(2)))
     return shifted.groupBy("pickup_hour").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tripflow.functions.calendar import HOURS_OF_DAY
 from tripflow.functions.scores import (
     LONG_IDLE,
     LOW_TIP,
@@ -23,7 +24,7 @@ from tripflow.functions.scores import (
     severity,
     z_score,
 )
-from tripflow.operators.anomaly import HOURS, as_events
+from tripflow.operators.anomaly import as_events
 from tripflow.operators.blocks import ordered_blocks
 
 TRIP_ORDER = ("vendor_id", "pickup_datetime", "trip_id")
@@ -110,7 +111,7 @@ def detect_rules(
         statistics.append(F.avg(measure).alias(f"{name}_mean"))
         statistics.append(F.stddev_samp(measure).alias(f"{name}_deviation"))
     stats = (
-        measured.filter(F.col("pickup_hour").between(*HOURS))
+        measured.filter(F.col("pickup_hour").between(*HOURS_OF_DAY))
         .groupBy("pickup_hour")
         .agg(*statistics)
     )

@@ -12,7 +12,7 @@ from tripflow.operators.clean import clean
 from tripflow.operators.hourly import hour_stats_from, hourly
 from tripflow.schemas import ANOMALIES, HOURLY, TRIPS
 from tripflow.sources.raw import read_raw
-from tripflow.tables.catalog import NAMESPACE
+from tripflow.tables.catalog import NAMESPACE, read_table
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES, compact
 from tripflow.tables.write import append, overwrite_partitions, replace
 
@@ -55,7 +55,7 @@ def aggregate(
     The trips are scanned twice: once for the hours, whose moments also give the statistics per
     hour of day, and once for the scores.
     """
-    trips = spark.table(f"{namespace}.{TRIPS.name}")
+    trips = read_table(spark, TRIPS, namespace)
     hours = replace(hourly(trips, p95, moments=True), f"{namespace}.{HOURLY.name}")
     events = detect(trips, hour_stats_from(hours), event_id=event_id)
     WRITES[mode](events, f"{namespace}.{ANOMALIES.name}")
@@ -75,4 +75,4 @@ def maintain(
 
 def report(spark: SparkSession, namespace: str = NAMESPACE) -> DataFrame:
     names = {"trips": TRIPS, "hourly": HOURLY, "anomalies": ANOMALIES}
-    return row_counts({k: spark.table(f"{namespace}.{t.name}") for k, t in names.items()})
+    return row_counts({k: read_table(spark, t, namespace) for k, t in names.items()})

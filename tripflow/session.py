@@ -26,6 +26,7 @@ def build_session(app: str = "tripflow", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

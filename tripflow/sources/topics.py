@@ -47,7 +47,7 @@ def file_topics(
     return reader.text(path).select("topic", "value")
 
 
-def parse_values(records: DataFrame, schema: StructType) -> DataFrame:
+def parse_values(records: DataFrame, schema: StructType | str) -> DataFrame:
     """JSON values into columns; a record that does not parse fails the query with its text."""
     parsed = records.withColumn(
         "record", F.from_json("value", schema, {"mode": "FAILFAST", "timeZone": "UTC"})

@@ -27,6 +27,7 @@ def unfinished_batch(spark: SparkSession, checkpoint: str) -> int | None:
 def _not_yet_in(df: DataFrame, table: str, key: str) -> DataFrame:
     """Rows of `df` whose key the table lacks; reads only the partitions `df` touches."""
     spark = df.sparkSession
+    spark.catalog.refreshTable(table)
     partitions = partition_columns(spark, table)
     touched = df.select(*partitions).distinct()
     held = spark.table(table).join(touched, partitions, "left_semi").select(*partitions, key)
@@ -45,12 +46,15 @@ def append_stream(
     A batch may run again after a crash. Only for that batch, the first of a restart, rows that
     the table already holds are left out; all others are appended without looking.
     """
-    repeated = unfinished_batch(rows.sparkSession, checkpoint)
+    session = rows.sparkSession
+    repeated = unfinished_batch(session, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
         if number == repeated:
             batch = _not_yet_in(batch, table, key)
         append(batch, table)
+        # Batches run in a copy of the session; the caller's own would keep its old file list.
+        session.catalog.refreshTable(table)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

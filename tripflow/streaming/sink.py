@@ -8,11 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType
 
 from tripflow.functions.calendar import path_columns
+from tripflow.tables.write import distribute, settings, write_settings
 
 # When a file is closed and a new one begun.
 ROLL_ROWS = 10000
 ROLL_WALL_CLOCK = "10 minutes"
 ROLL_EVENT_SECONDS = 300
+PART_BYTES = 67108864
 INGESTION_TIME = "kafka_ingestion_time"
 BUCKETS = ("topic", "year", "month", "day", "hour")
 
@@ -59,12 +61,13 @@ def time_partitioned_sink(
 ) -> StreamingQuery:
     """Write `records` to topic=/year=/month=/day=/hour= folders below `path`.
 
-    Each task writes its own rows without a shuffle, so a busy topic or hour uses every task that
-    reads it. `every=None` takes what is there and stops. The sink's log and the checkpoint make
-    a rerun add nothing twice.
+    The rows of a bucket meet in one task, or several where a busy topic or hour exceeds the part
+    size, so a backfill over many hours does not leave a file per task and hour. `every=None`
+    takes what is there and stops. The sink's log and the checkpoint make a rerun add nothing
+    twice.
     """
-    rows = bucket(records, event_time, roll_event_seconds)
     folders = [*BUCKETS, "slot"] if roll_event_seconds else list(BUCKETS)
+    rows = distribute(bucket(records, event_time, roll_event_seconds), folders)
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*folders)
@@ -74,4 +77,6 @@ def time_partitioned_sink(
         .option("compression", "snappy")
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    # A query keeps the session settings it was started with.
+    with settings(records.sparkSession, write_settings(PART_BYTES)):
+        return writer.trigger(**trigger).start()

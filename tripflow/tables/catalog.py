@@ -49,6 +49,11 @@ def create_tables(
     return list_tables(spark, namespace)
 
 
+def read_table(spark: SparkSession, table: Table, namespace: str = NAMESPACE) -> DataFrame:
+    """The table in its declared column order; the catalog itself lists partition columns last."""
+    return spark.table(f"{namespace}.{table.name}").select(*table.columns.names)
+
+
 def list_tables(spark: SparkSession, namespace: str = NAMESPACE) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {namespace}")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,9 @@ from tripflow.tables.catalog import partition_columns, target_file_bytes
 
 # Bytes of shuffled rows per byte of snappy Parquet, measured on cleaned trips.
 SHUFFLE_EXPANSION = 2
+# Hash slots of a write. Days that share a slot share its tasks, and each task then leaves a file
+# per day, so there are to be more slots than days; empty ones are merged away.
+WRITE_SLOTS = 4096
 
 
 @contextmanager
@@ -30,7 +33,24 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def distribute(df: DataFrame, partitions: list[str]) -> DataFrame:
+def write_settings(target_bytes: int | None) -> dict[str, str]:
+    """How a rebalance before a write forms its tasks.
+
+    Rows of a partition stay together whatever the number of tasks, so more tasks do not mean
+    more files: no minimum size, and at most `target_bytes` of files per task.
+    """
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(WRITE_SLOTS),
+    }
+    if target_bytes:
+        wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(
+            target_bytes * SHUFFLE_EXPANSION
+        )
+    return wanted
+
+
+def distribute(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows of one table partition together, so that each gets few files.
 
     A rebalance, not a plain repartition: at run time it splits a partition that exceeds the
@@ -41,11 +61,8 @@ def distribute(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 def _insert(df: DataFrame, table: str, verb: str, mode: str) -> None:
     spark = df.sparkSession
-    wanted = {"spark.sql.sources.partitionOverwriteMode": mode}
-    size = target_file_bytes(spark, table)
-    if size:
-        advisory = str(size * SHUFFLE_EXPANSION)
-        wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory
+    wanted = write_settings(target_file_bytes(spark, table))
+    wanted["spark.sql.sources.partitionOverwriteMode"] = mode
     rows = distribute(df, partition_columns(spark, table))
     with settings(spark, wanted):
         spark.sql(f"{verb} {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
