@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, TimestampType
 
+from tripflow.functions.identity import content_id, source_row_id
 from tripflow.operators.anomaly import detect, hour_stats, score
 from tripflow.operators.clean import clean
 from tripflow.operators.hourly import HOUR_KEYS, hour_stats_from, hourly
@@ -85,13 +86,12 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    kinds = {IntegerType: "bigint", FloatType: "double", TimestampType: "timestamp_ntz"}
+    kinds = {IntegerType: "BIGINT", FloatType: "DOUBLE", TimestampType: "TIMESTAMP_NTZ"}
     columns = []
     for field in df.schema.fields:
         kind = kinds.get(type(field.dataType))
-        column = F.col(field.name)
-        columns.append(column.cast(kind).alias(field.name) if kind else column)
-    return df.select(*columns)
+        columns.append(f"CAST({field.name} AS {kind}) AS {field.name}" if kind else field.name)
+    return df.selectExpr(*columns)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -122,6 +122,21 @@ def trips_clean(spark, sf_dir):
     return plain(trips(spark, sf_dir))
 
 
+def surrogate_ids(spark, sf_dir):
+    """Trips and different ids, for each way to number them."""
+    raw = raw_trips(events(spark, sf_dir))
+    ways = {"task": None, "source": source_row_id(), "content": content_id("event_id")}
+    counts = [
+        clean(raw, way).agg(
+            F.lit(name).alias("way"),
+            F.count(F.lit(1)).alias("trips"),
+            F.countDistinct("trip_id").alias("ids"),
+        )
+        for name, way in ways.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 def trips_by_partition(spark, sf_dir):
     return per_day(trips(spark, sf_dir))
 
@@ -167,6 +182,19 @@ def zero_deviation(spark, sf_dir):
     )
 
 
+def nan_fares(spark, sf_dir, nan="keep"):
+    """Fares above 200 taken as not a number; kept, they reach every trip of their hour."""
+    fare = F.when(F.col("value") > 200, F.lit(float("nan"))).otherwise(F.col("value"))
+    raw = raw_trips(events(spark, sf_dir).withColumn("value", fare))
+    found = detect(clean(raw, F.col("event_id"), nan))
+    hours = found.groupBy(F.hour("pickup_datetime").alias("pickup_hour"), "severity")
+    return plain(hours.agg(F.count(F.lit(1)).alias("events")))
+
+
+def nan_fares_dropped(spark, sf_dir):
+    return nan_fares(spark, sf_dir, nan="drop")
+
+
 def anomalies_surge(spark, sf_dir):
     return anomaly_rows(detect(trips(spark, sf_dir)))
 
@@ -370,6 +398,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_scan_count": raw_scan_count,
         "trips_clean": trips_clean,
+        "surrogate_ids": surrogate_ids,
         "trips_by_partition": trips_by_partition,
         "hourly_agg": hourly_agg,
         "hourly_p95_exact": hourly_p95_exact,
@@ -378,6 +407,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hour_stats_from_hourly": hour_stats_from_hourly,
         "trips_with_stats": trips_with_stats,
         "zero_deviation": zero_deviation,
+        "nan_fares": nan_fares,
+        "nan_fares_dropped": nan_fares_dropped,
         "anomalies_surge": anomalies_surge,
         "anomalies_low": anomalies_low,
         "anomaly_severity_counts": anomaly_severity_counts,
@@ -536,6 +567,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "raw_scan_count": "SELECT 'raw' AS stage, count(*) AS rows FROM events",
         "trips_clean": all_trips,
+        "surrogate_ids": f"""
+            WITH {TRIPS}
+            SELECT unnest(['task', 'source', 'content']) AS way, n AS trips, n AS ids
+            FROM (SELECT count(*) AS n FROM trips)""",
         "trips_by_partition": PER_DAY,
         "hourly_agg": all_hours,
         "hourly_p95_exact": f"""
@@ -556,6 +591,21 @@ def oracle_sql() -> dict[str, str]:
             WITH {TRIPS}, {_scored('CAST(pickup_hour AS DOUBLE)')}
             SELECT pickup_hour, count(*) AS trips, count(z) AS scored
             FROM scored GROUP BY pickup_hour""",
+        "nan_fares": f"""
+            WITH {TRIPS},
+            tainted AS (SELECT DISTINCT pickup_hour FROM trips WHERE fare_amount > 200),
+            whole AS (SELECT * FROM trips WHERE pickup_hour NOT IN (FROM tainted)),
+            {_scored('fare_amount', base='whole')}
+            SELECT pickup_hour, {SEVERITY} AS severity, count(*) AS events
+            FROM scored WHERE abs(z) > 3 GROUP BY ALL
+            UNION ALL
+            SELECT pickup_hour, 'HIGH', count(*) FROM trips
+            WHERE pickup_hour IN (FROM tainted) GROUP BY ALL""",
+        "nan_fares_dropped": f"""
+            WITH {TRIPS}, usual AS (SELECT * FROM trips WHERE fare_amount <= 200),
+            {_scored('fare_amount', base='usual')}
+            SELECT pickup_hour, {SEVERITY} AS severity, count(*) AS events
+            FROM scored WHERE abs(z) > 3 GROUP BY ALL""",
         "anomalies_surge": SURGE,
         "anomalies_low": f"WITH {low} {_events('abs(z) > 3', FARE_TYPE, source='low')}",
         "anomaly_severity_counts": f"""

@@ -83,7 +83,8 @@ def test_good_files_stay(spark, namespace, trips):
 def test_hot_partition_uses_many_files(spark, namespace, trips):
     """All rows, a third of them copies of one, on one day."""
     name = f"{namespace}.{TRIPS.name}"
-    one = trips.limit(1).drop("pickup_day").crossJoin(spark.range(4000)).drop("id")
+    copies = F.explode(F.sequence(F.lit(1), F.lit(4000)))
+    one = trips.limit(1).drop("pickup_day").withColumn("copy", copies).drop("copy")
     rows = trips.drop("pickup_day").unionByName(one).withColumn("pickup_day", F.lit(1))
     insert(rows.repartition(24), name)
     sizes = list_files(spark, location(spark, name)).agg(F.sum("length")).first()[0]
@@ -130,14 +131,23 @@ def test_interrupted_while_swapping(spark, table, trips, monkeypatch, moves):
     assert files_per_day(spark, table)[5] == 1
 
 
-def test_row_count_guard(spark, table, trips, monkeypatch):
-    wrong = module._badly_sized
-    calls = []
+def test_many_files_without_broadcast(spark, table, trips, monkeypatch):
+    monkeypatch.setattr(module, "BROADCAST_FILES", 10)
+    compact(spark, table)
+    assert files_per_day(spark, table)[5] == 1 and same_rows(spark, table, trips)
+
+
+def test_files_arriving_meanwhile_stay(spark, table, trips, monkeypatch):
+    """Files written after the plan was made are neither rewritten nor lost."""
+    plan = module.plan_rewrite
 
-    def later_differs(size, target):
-        calls.append(1)
-        return wrong(size, target)
+    def plan_then_insert(*args):
+        frozen = module.durable(plan(*args), "plan")
+        insert(trips.filter("pickup_day = 5").repartition(4), table)
+        return frozen
 
-    monkeypatch.setattr(module, "_badly_sized", later_differs)
+    monkeypatch.setattr(module, "plan_rewrite", plan_then_insert)
     compact(spark, table)
-    assert len(calls) == 2 and same_rows(spark, table, trips)
+    assert files_per_day(spark, table)[5] == 5
+    twice = trips.unionByName(trips.filter("pickup_day = 5"))
+    assert same_rows(spark, table, twice)

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.calendar import calendar_columns
-from tripflow.schemas import DOUBLE, TRIPS, typed_null
+from tripflow.schemas import TRIPS
 
 # Raw columns that only change their name.
 RENAMED = {"VendorID": "vendor_id", "RatecodeID": "rate_code"}
-# The files no longer carry coordinates.
-COORDINATES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
 # The accepted range of riders, both ends included.
 RIDERS = (1, 8)
 
@@ -53,9 +51,6 @@ def clean(raw: DataFrame, trip_id: Column | None = None, nan: str = "keep") -> D
     numbered = stamped.withColumn(
         "trip_id", F.monotonically_increasing_id() if trip_id is None else trip_id
     )
-    enriched = (
-        numbered.withColumns(calendar_columns("pickup_datetime", "pickup"))
-        .withColumnsRenamed(RENAMED)
-        .withColumns({name: typed_null(name, DOUBLE) for name in COORDINATES})
-    )
-    return TRIPS.project(enriched)
+    enriched = numbered.withColumns(calendar_columns("pickup_datetime", "pickup"))
+    # The files no longer carry coordinates; those four columns come out NULL.
+    return TRIPS.project(enriched.withColumnsRenamed(RENAMED))

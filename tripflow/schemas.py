@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -112,10 +111,11 @@ class Table:
     target_file_bytes: int
 
     def project(self, df: DataFrame) -> DataFrame:
-        """The table's columns in table order with the table's types; ANSI casts raise on overflow."""
-        return df.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.columns.fields]
-        )
+        """The table's columns by name, in table order and with the table's types.
+
+        Numbers that do not fit raise. A column `df` lacks is NULL.
+        """
+        return df.to(self.columns)
 
 
 TRIPS = Table("taxi_trips", TRIP_COLUMNS, ("pickup_year", "pickup_month", "pickup_day"), 128 * MIB)
@@ -125,6 +125,3 @@ TABLES = (TRIPS, HOURLY, ANOMALIES)
 
 TOPICS = ("sensor_data", "market_data", "weather_data")
 
-
-def typed_null(name: str, kind: DataType) -> Column:
-    return F.lit(None).cast(kind).alias(name)

@@ -27,6 +27,8 @@ def build_session(app: str = "tripflow", master: str | None = None, **conf: str)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every column expression takes longer than small queries do.
+        builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -19,41 +19,39 @@ TOPIC_OF = {
 }
 
 
-def _lookup(column: str, table: dict):
-    chosen = F.lit(None)
-    for key, value in table.items():
-        chosen = F.when(F.col(column) == key, F.lit(value)).otherwise(chosen)
-    return chosen
+def _lookup(column: str, table: dict) -> str:
+    """SQL for the value `table` gives to `column`."""
+    cases = " ".join(f"WHEN {key!r} THEN {value!r}" for key, value in table.items())
+    return f"CASE {column} {cases} END"
 
 
 def raw_trips(events: DataFrame) -> DataFrame:
-    """One raw trip per event; event_id and user_id stay for ids."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    parsed = events.withColumn("k", k)
-    return parsed.select(
+    """One raw trip per event; event_id stays for ids."""
+    parsed = events.withColumn("k", F.expr("CAST(get_json_object(props, '$.k') AS INT)"))
+    return parsed.selectExpr(
         "event_id",
-        (F.col("user_id") % 2 + 1).cast("int").alias("VendorID"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        (F.col("ts") + F.make_dt_interval(mins=F.col("k"))).alias("tpep_dropoff_datetime"),
-        (F.col("user_id") % 10).alias("passenger_count"),
-        F.col("k").cast("double").alias("trip_distance"),
-        (F.col("user_id") % 6 + 1).alias("RatecodeID"),
-        _lookup("event_type", PAYMENT_CODES).cast("bigint").alias("payment_type"),
-        F.col("value").alias("fare_amount"),
-        F.lit(0.0).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        (F.col("value") * 0.125).alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        (F.col("value") + 0.0 + 0.5 + F.col("value") * 0.125 + 0.0).alias("total_amount"),
+        "CAST(user_id % 2 + 1 AS INT) AS VendorID",
+        "ts AS tpep_pickup_datetime",
+        "ts + make_dt_interval(0, 0, k) AS tpep_dropoff_datetime",
+        "user_id % 10 AS passenger_count",
+        "CAST(k AS DOUBLE) AS trip_distance",
+        "user_id % 6 + 1 AS RatecodeID",
+        f"CAST({_lookup('event_type', PAYMENT_CODES)} AS BIGINT) AS payment_type",
+        "value AS fare_amount",
+        "0D AS extra",
+        "0.5D AS mta_tax",
+        "value * 0.125D AS tip_amount",
+        "0D AS tolls_amount",
+        "value + 0D + 0.5D + value * 0.125D + 0D AS total_amount",
     )
 
 
 def topic_records(events: DataFrame) -> DataFrame:
     """One topic record per event: topic, timestamp, key, value, props."""
-    return events.select(
-        _lookup("event_type", TOPIC_OF).alias("topic"),
-        F.to_timestamp("ts").alias("timestamp"),
-        F.col("user_id").alias("key"),
+    return events.selectExpr(
+        f"{_lookup('event_type', TOPIC_OF)} AS topic",
+        "to_timestamp(ts) AS timestamp",
+        "user_id AS key",
         "value",
         "props",
     )

@@ -17,6 +17,10 @@ TARGET_FILE_BYTES = 134217728
 MIN_INPUT_FILES = 3
 SIZE_RANGE = (0.75, 1.8)
 
+# Up to this many file names, some 100 MB, are sent to every executor; beyond it the rows are
+# joined to them by a shuffle.
+BROADCAST_FILES = 500_000
+
 WORK = "_compaction"
 
 
@@ -115,9 +119,14 @@ def compact(
         f"{run}/inputs"
     )
     inputs = spark.read.parquet(f"{run}/inputs")
-    tasks = inputs.agg(F.max(F.col("first_part") + F.col("parts"))).first()[0]
+    names, tasks = inputs.agg(
+        F.count(F.lit(1)), F.max(F.col("first_part") + F.col("parts"))
+    ).first()
     if tasks:
-        _stage(spark, table, columns, inputs, run, tasks, target_file_size_bytes)
+        chosen = inputs.select("file", "parts", "first_part")
+        if names <= BROADCAST_FILES:
+            chosen = F.broadcast(chosen)
+        _stage(spark, table, columns, chosen, run, tasks, target_file_size_bytes)
     report = durable(_report(spark, inputs, run, columns, bool(tasks)), "compact")
     if tasks:
         Files(spark, root).mark(f"{run}/READY")
@@ -129,11 +138,12 @@ def _stage(
     spark: SparkSession,
     table: str,
     columns: list[str],
-    inputs: DataFrame,
+    chosen: DataFrame,
     run: str,
     tasks: int,
     target: int,
 ) -> None:
+    """Write the rows of the chosen files, read from exactly these, to `tasks` new files."""
     rows = spark.table(table)
     old = (
         rows.filter(_badly_sized(F.col("_metadata.file_size"), target))
@@ -143,7 +153,7 @@ def _stage(
                 "position": F.col("_metadata.row_index"),
             }
         )
-        .join(inputs.select("file", "parts", "first_part"), "file")
+        .join(chosen, "file")
     )
     spread = F.pmod(F.xxhash64("file", "position"), F.col("parts"))
     part = (F.col("first_part") + spread).cast("int")
