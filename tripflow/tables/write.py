@@ -15,6 +15,9 @@ SHUFFLE_EXPANSION = 2
 # Hash slots of a write. Days that share a slot share its tasks, and each task then leaves a file
 # per day, so there are to be more slots than days; empty ones are merged away.
 WRITE_SLOTS = 4096
+# Partition files a task keeps open at once. Up to this many it need not sort its rows by
+# partition first; with more it sorts the rest.
+OPEN_FILES = 32
 
 
 @contextmanager
@@ -42,6 +45,7 @@ def write_settings(target_bytes: int | None) -> dict[str, str]:
     wanted = {
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(WRITE_SLOTS),
+        "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
     }
     if target_bytes:
         wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(
