@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.errors import PySparkException, StreamingQueryException
@@ -137,11 +138,12 @@ def test_json_topics(spark, places):
     assert sorted(held) == [("sensor_data", 2, 4, 0.5), ("weather_data", 2, 4, 0.5)]
 
 
-def test_bad_record_stops_the_stream(spark, places):
-    lines(spark, places["in"], "sensor_data", '{"timestamp": "2024-01-01T02:00:00Z", "key": "x"}')
+@pytest.mark.parametrize("bad", ['{"timestamp": "2024-01-01T02:00:00Z", "key": "x"}', "{no json"])
+def test_bad_record_stops_the_stream(spark, places, bad):
+    lines(spark, places["in"], "sensor_data", bad)
     stream = parse_values(file_topics(spark, places["in"]), VALUE)
     query = time_partitioned_sink(stream, places["out"], places["log"], every=None)
-    with pytest.raises(StreamingQueryException):
+    with pytest.raises(StreamingQueryException, match=re.escape(f"record does not parse: {bad}")):
         query.awaitTermination()
 
 

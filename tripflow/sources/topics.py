@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tripflow.schemas import TOPICS
 
+UNPARSED = "_unparsed"
+
 
 def kafka_topics(
     spark: SparkSession,
@@ -47,9 +48,16 @@ def file_topics(
     return reader.text(path).select("topic", "value")
 
 
-def parse_values(records: DataFrame, schema: StructType | str) -> DataFrame:
-    """JSON values into columns; a record that does not parse fails the query with its text."""
-    parsed = records.withColumn(
-        "record", F.from_json("value", schema, {"mode": "FAILFAST", "timeZone": "UTC"})
-    )
-    return parsed.drop("value").select("*", "record.*").drop("record")
+def parse_values(records: DataFrame, schema: str) -> DataFrame:
+    """JSON values into the columns of `schema` (DDL).
+
+    A record that does not parse, or has a value of another type, fails the query, and the message
+    shows the record.
+    """
+    options = {"columnNameOfCorruptRecord": UNPARSED, "timeZone": "UTC"}
+    parsed = F.from_json("value", f"{schema}, {UNPARSED} string", options)
+    message = F.concat(F.lit("record does not parse: "), F.col(f"parsed.{UNPARSED}"))
+    unparsed = F.col(f"parsed.{UNPARSED}")
+    checked = F.when(unparsed.isNull(), F.col("parsed")).otherwise(F.raise_error(message))
+    read = records.withColumn("parsed", parsed).withColumn("parsed", checked)
+    return read.drop("value").select("*", "parsed.*").drop("parsed", UNPARSED)

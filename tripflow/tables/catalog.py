@@ -42,9 +42,10 @@ def create_tables(
     where = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
     for table in TABLES:
-        held = location and Files(spark, location).exists(f"{location}/{table.name}")
+        if location:
+            Files(spark, location).make(f"{location}/{table.name}")
         spark.sql(table_ddl(table, namespace, location))
-        if held:
+        if location:
             spark.sql(f"MSCK REPAIR TABLE {namespace}.{table.name}")
     return list_tables(spark, namespace)
 

@@ -33,6 +33,9 @@ class Files:
             while found.hasNext():
                 yield found.next().getPath().toString()
 
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self._path(folder))
+
     def mark(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
