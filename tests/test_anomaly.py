@@ -75,6 +75,15 @@ def test_undefined_deviations_yield_no_event(spark):
     assert sum(r.severity == "HIGH" and math.isnan(r.z_score) for r in found) == 3
 
 
+@pytest.mark.parametrize("fare", [0.1, 7.35, 1e-9, 123456.789])
+def test_equal_fares_have_no_spread_however_they_are_split(spark, fare):
+    trips = fares(spark, [(5, fare)] * 1000 + [(6, fare + 1)]).repartition(13)
+    merged = hour_stats_from(hourly(trips, moments=True))
+    for stats in (hour_stats(trips), merged):
+        assert {r.pickup_hour: r.std_fare for r in stats.collect()} == {5: 0.0, 6: None}
+        assert detect(trips, stats).count() == 0
+
+
 def test_event_columns(spark, trips):
     found = detect(trips)
     assert [(f.name, f.dataType) for f in found.schema] == [

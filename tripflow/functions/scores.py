@@ -15,6 +15,21 @@ LOW_TIP = "low_tip"
 LONG_IDLE = "long_idle"
 
 
+def flat(low: Column, high: Column, count: Column) -> Column:
+    """Whether several values are all the same number, going by the least and the greatest."""
+    return (low == high) & ~F.isnan(low) & (count > 1)
+
+
+def deviation(value: str) -> Column:
+    """Sample deviation, as an aggregate.
+
+    Exactly 0 for equal values: merging the partial results of several tasks can leave a trace of
+    rounding there, and dividing by it would make scores out of nothing.
+    """
+    same = flat(F.min(value), F.max(value), F.count(value))
+    return F.when(same, F.lit(0.0)).otherwise(F.stddev_samp(value))
+
+
 def z_score(value: Column, mean: Column, deviation: Column) -> Column:
     """(value - mean) / deviation; NULL where the deviation is 0 or NULL, never an error."""
     return F.try_divide(value - mean, deviation)

@@ -10,6 +10,7 @@ from tripflow.functions.identity import event_id as make_event_id
 from tripflow.functions.scores import (
     SEVERITY_STEPS,
     Z_THRESHOLD,
+    deviation,
     fare_type,
     is_anomalous,
     severity,
@@ -29,7 +30,7 @@ def hour_stats(trips: DataFrame) -> DataFrame:
         .groupBy("pickup_hour")
         .agg(
             F.avg("fare_amount").alias("mean_fare"),
-            F.stddev_samp("fare_amount").alias("std_fare"),
+            deviation("fare_amount").alias("std_fare"),
         )
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripflow.functions.calendar import HOURS_OF_DAY
+from tripflow.functions.scores import flat
 from tripflow.operators.quantile import exact_quantile
 from tripflow.schemas import HOURLY
 
@@ -14,8 +15,8 @@ HOUR_KEYS = ("pickup_year", "pickup_month", "pickup_day", "pickup_hour")
 P95 = "0.95"
 
 
-# Fixed meaning: number, mean and sum of squared deviations of an hour's fares.
-MOMENTS = ("fare_count", "fare_mean", "fare_squares")
+# Number, mean, sum of squared deviations, least and greatest of an hour's fares.
+MOMENTS = ("fare_count", "fare_mean", "fare_squares", "fare_low", "fare_high")
 
 
 def hourly(trips: DataFrame, p95: str = "approx", moments: bool = False) -> DataFrame:
@@ -43,6 +44,8 @@ def hourly(trips: DataFrame, p95: str = "approx", moments: bool = False) -> Data
         aggregates["fare_count"] = fares
         aggregates["fare_mean"] = F.avg("fare_amount")
         aggregates["fare_squares"] = F.var_pop("fare_amount") * fares
+        aggregates["fare_low"] = F.min("fare_amount")
+        aggregates["fare_high"] = F.max("fare_amount")
 
     grouped = trips.groupBy(*HOUR_KEYS).agg(*[c.alias(n) for n, c in aggregates.items()])
     if p95 == "exact":
@@ -67,7 +70,9 @@ def hour_stats_from(hours: DataFrame) -> DataFrame:
     shifted = hours.withColumn("shift", F.col("fare_mean") - mean / count)
     total = F.sum("fare_count")
     squares = F.sum(F.col("fare_squares") + F.col("fare_count") * F.pow("shift", F.lit(2)))
+    same = flat(F.min("fare_low"), F.max("fare_high"), total)
+    spread = F.when(same, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(squares, total - 1)))
     return shifted.groupBy("pickup_hour").agg(
         (F.sum(F.col("fare_count") * F.col("fare_mean")) / total).alias("mean_fare"),
-        F.sqrt(F.try_divide(squares, total - 1)).alias("std_fare"),
+        spread.alias("std_fare"),
     )

@@ -21,6 +21,7 @@ from tripflow.functions.scores import (
     OUTLIER_DISTANCE,
     SEVERITY_STEPS,
     Z_THRESHOLD,
+    deviation,
     severity,
     z_score,
 )
@@ -109,7 +110,7 @@ def detect_rules(
     for name in rules:
         measure = RULES[name].measure
         statistics.append(F.avg(measure).alias(f"{name}_mean"))
-        statistics.append(F.stddev_samp(measure).alias(f"{name}_deviation"))
+        statistics.append(deviation(measure).alias(f"{name}_deviation"))
     stats = (
         measured.filter(F.col("pickup_hour").between(*HOURS_OF_DAY))
         .groupBy("pickup_hour")
@@ -119,8 +120,8 @@ def detect_rules(
     scored = measured.join(F.broadcast(stats), "pickup_hour", "left")
     findings = []
     for name in rules:
-        mean, deviation = F.col(f"{name}_mean"), F.col(f"{name}_deviation")
-        z = z_score(F.col(RULES[name].measure), mean, deviation)
+        mean, spread = F.col(f"{name}_mean"), F.col(f"{name}_deviation")
+        z = z_score(F.col(RULES[name].measure), mean, spread)
         finding = F.struct(
             F.lit(name).alias("anomaly_type"), z.alias("z_score"), mean.alias("reference_avg")
         )
