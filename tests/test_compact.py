@@ -131,6 +131,29 @@ def test_interrupted_while_swapping(spark, table, trips, monkeypatch, moves):
     assert files_per_day(spark, table)[5] == 1
 
 
+@pytest.mark.parametrize("left", ["READY", "inputs", "old"])
+def test_interrupted_while_clearing_up(spark, table, trips, monkeypatch, left):
+    """After the swap the run's folder goes piece by piece."""
+    delete = Files.delete
+
+    def piecemeal(self, path):
+        if path.endswith("READY") or f"/{WORK}/" not in path:
+            return delete(self, path)
+        for name in self.names(path):
+            if name != left:
+                delete(self, f"{path}/{name}")
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(Files, "delete", piecemeal)
+    with pytest.raises(RuntimeError):
+        compact(spark, table)
+    monkeypatch.undo()
+    spark.catalog.refreshTable(table)
+    assert same_rows(spark, table, trips)
+    assert compact(spark, table).count() == 0
+    assert same_rows(spark, table, trips)
+
+
 def test_many_files_without_broadcast(spark, table, trips, monkeypatch):
     monkeypatch.setattr(module, "BROADCAST_FILES", 10)
     compact(spark, table)

@@ -12,7 +12,7 @@ from tripflow.schemas import TRIPS
 from tripflow.session import build_session
 from tripflow.sources.topics import file_topics, kafka_topics, parse_values
 from tripflow.streaming.intake import ingest_new_files
-from tripflow.streaming.sink import time_partitioned_sink
+from tripflow.streaming.sink import ROLL_EVENT_SECONDS, ROLL_WALL_CLOCK, time_partitioned_sink
 from tripflow.tables.catalog import NAMESPACE, create_tables
 from tripflow.tables.purge import purge
 
@@ -40,6 +40,9 @@ def _arguments() -> argparse.Namespace:
     source.add_argument("--servers", help="broker addresses")
     source.add_argument("--files", help="folder of topic=<name>/ text files")
     sink.add_argument("--schema", required=True, help="DDL of the JSON values")
+    sink.add_argument("--tasks", type=int, help="least number of tasks reading the broker")
+    sink.add_argument("--roll-event-time", action="store_true", help="a folder per five minutes")
+    sink.add_argument("--once", action="store_true", help="take what is there and stop")
     drop = commands.add_parser("purge", help="drop trip partitions before a date")
     drop.add_argument("before", type=date.fromisoformat)
     query = commands.add_parser("sql", help="run a query over the tables")
@@ -74,11 +77,18 @@ def main() -> None:
 
 def _sink(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.servers:
-        records = kafka_topics(spark, args.servers)
+        records = kafka_topics(spark, args.servers, min_partitions=args.tasks)
     else:
         records = file_topics(spark, args.files)
     values = parse_values(records, args.schema)
-    time_partitioned_sink(values, args.path, args.checkpoint).awaitTermination()
+    query = time_partitioned_sink(
+        values,
+        args.path,
+        args.checkpoint,
+        roll_event_seconds=ROLL_EVENT_SECONDS if args.roll_event_time else None,
+        every=None if args.once else ROLL_WALL_CLOCK,
+    )
+    query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -43,9 +43,7 @@ def _within_table(path: Column, depth: int) -> Column:
     return F.substring_index(path, "/", -(depth + 1))
 
 
-def plan_rewrite(
-    spark: SparkSession, table: str, target: int, min_files: int
-) -> DataFrame:
+def plan_rewrite(spark: SparkSession, table: str, target: int, min_files: int) -> DataFrame:
     """The files to rewrite: partition, file, length, parts (new files), first_part.
 
     Numbering the new files runs over one row per table partition.
@@ -77,6 +75,8 @@ def _swap(spark: SparkSession, root: str, run: str) -> None:
     new = f"{run}/new/"
     staged = (p[p.index(new) + len(new) :] for p in _parquet(files, new))
     files.move_all((f"{new}{name}", f"{root}/{name}") for name in staged)
+    # The mark goes first: from here on the run is only waste.
+    files.delete(f"{run}/READY")
     files.delete(run)
 
 
@@ -109,8 +109,8 @@ def compact(
     Files of good size stay untouched. The rows go to new files by their position in the old
     ones, so a partition of any size is spread evenly, one task per new file. The new files are
     written beside the table, counted against the old ones, and only then moved in. Run one
-    compaction of a table at a time. Returns partition, rewritten_files, rewritten_bytes,
-    added_files, added_bytes.
+    compaction of a table at a time; appends may go on meanwhile, overwrites may not. Returns
+    partition, rewritten_files, rewritten_bytes, added_files, added_bytes.
     """
     recover(spark, table)
     root, columns = location(spark, table), partition_columns(spark, table)
