@@ -16,6 +16,7 @@ from tripflow.session import scratch
 from tripflow.sources.events import raw_trips, topic_records
 from tripflow.sources.raw import stream_raw
 from tripflow.sources.topics import file_topics, kafka_topics, parse_values
+from tripflow.streaming import sink
 from tripflow.streaming.detect import detect_stream, freeze_stats
 from tripflow.streaming.intake import append_stream, ingest_new_files, unfinished_batch
 from tripflow.streaming.sink import INGESTION_TIME, bucket, time_partitioned_sink
@@ -90,6 +91,25 @@ def test_rolls(spark, events, places):
     assert largest <= 100
 
 
+def test_hot_bucket_is_split(spark, events, places, monkeypatch):
+    """All records in one hour of one topic: several tasks write them."""
+    monkeypatch.setattr(sink, "PART_BYTES", 20000)
+    records = topic_records(events).withColumns(
+        {"topic": F.lit("market_data"), "timestamp": F.to_timestamp(F.lit("2024-01-01 05:07:00"))}
+    )
+    records.repartition(12).write.parquet(places["in"])
+    monkeypatch.setitem(sink.__dict__, "write_settings", one_scan_task_per_file)
+    held = run(spark, places, roll_rows=0)
+    assert held.count() == records.count()
+    assert held.select("_metadata.file_path").distinct().count() > 2
+
+
+def one_scan_task_per_file(target):
+    from tripflow.tables.write import write_settings
+
+    return {**write_settings(target), "spark.sql.files.openCostInBytes": str(2**27)}
+
+
 def test_event_time_roll(spark, places):
     minutes = [0, 4, 5, 14, 59]
     rows = [("a", dt.datetime(2024, 1, 1, 3, m), m) for m in minutes]

@@ -29,14 +29,11 @@ from tripflow.operators.anomaly import as_events
 from tripflow.operators.blocks import ordered_blocks
 
 TRIP_ORDER = ("vendor_id", "pickup_datetime", "trip_id")
+# What every event takes from its trip.
 EVENT_INPUT = (
     "trip_id",
-    "vendor_id",
     "pickup_datetime",
-    "dropoff_datetime",
-    "trip_distance",
     "fare_amount",
-    "tip_amount",
     "pickup_year",
     "pickup_month",
     "pickup_hour",
@@ -45,16 +42,21 @@ EVENT_INPUT = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A measured column and the side of its z-score that counts."""
+    """A measured column, what it is made of, and the side of its z-score that counts."""
 
     measure: str
+    inputs: tuple[str, ...]
     flags: Callable[[Column, float], Column]
 
 
 RULES = {
-    LOW_TIP: Rule("tip_amount", lambda z, limit: z < -limit),
-    OUTLIER_DISTANCE: Rule("trip_distance", lambda z, limit: F.abs(z) > limit),
-    LONG_IDLE: Rule("idle_seconds", lambda z, limit: z > limit),
+    LOW_TIP: Rule("tip_amount", ("tip_amount",), lambda z, limit: z < -limit),
+    OUTLIER_DISTANCE: Rule(
+        "trip_distance", ("trip_distance",), lambda z, limit: F.abs(z) > limit
+    ),
+    LONG_IDLE: Rule(
+        "idle_seconds", ("vendor_id", "dropoff_datetime"), lambda z, limit: z > limit
+    ),
 }
 
 
@@ -63,9 +65,9 @@ def idle_gaps(trips: DataFrame, blocks: int | None = None) -> DataFrame:
 
     "Previous" is by pickup time and trip id. There are only a few vendors, so the order is cut
     into blocks; the last drop-off of a vendor's block enters the vendor's next block as an extra
-    first row.
+    first row. All columns given are written out once, so give only what is needed.
     """
-    ordered = ordered_blocks(trips.select(*EVENT_INPUT), TRIP_ORDER, blocks)
+    ordered = ordered_blocks(trips, TRIP_ORDER, blocks)
     last = F.max_by("dropoff_datetime", F.struct("pickup_datetime", "trip_id"))
     # At most one row per block for each vendor in it.
     lasts = ordered.groupBy("vendor_id", "block").agg(last.alias("dropoff_datetime"))
@@ -102,10 +104,10 @@ def detect_rules(
 
     The broadcast side has one row per hour of day, at most 24.
     """
+    inputs = {column for name in rules for column in RULES[name].inputs} - set(EVENT_INPUT)
+    measured = trips.select(*EVENT_INPUT, *sorted(inputs))
     if LONG_IDLE in rules:
-        measured = idle_gaps(trips, blocks)
-    else:
-        measured = trips.select(*EVENT_INPUT)
+        measured = idle_gaps(measured, blocks)
     statistics = []
     for name in rules:
         measure = RULES[name].measure
