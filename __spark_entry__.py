@@ -32,6 +32,23 @@ from tripflow.tables.compact import compact
 from tripflow.tables.purge import purge
 from tripflow.tables.write import append, overwrite_partitions, replace
 
+# Operators on texts and the pipeline over them can be left out of the repository.
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_SQL: dict[str, str] = {}
+try:
+    from tripflow.llm.queries import QUERIES as LLM_QUERIES
+    from tripflow.llm.queries import SQL as LLM_SQL
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tripflow.llm", "tripflow.llm.queries"):
+        raise
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tripflow.llm", "tripflow.llm.rows"):
+        raise
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 PURGE_BEFORE = date(2024, 1, 15)
 HOUR_COLUMNS = [
@@ -431,6 +448,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingestion_time_present": ingestion_time_present,
         "stream_incremental": stream_incremental,
         "stream_anomalies": stream_anomalies,
+        **LLM_QUERIES,
     }
 
 
@@ -673,4 +691,5 @@ def oracle_sql() -> dict[str, str]:
         "ingestion_time_present": "SELECT count(*) AS stamped FROM events",
         "stream_incremental": PER_DAY,
         "stream_anomalies": SURGE,
+        **LLM_SQL,
     }
