@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tripflow.llm.decontaminate import find_leaks
+from tripflow.llm.mixing import PERIOD, mix_sources
+from tripflow.llm.mixing import BLOCK as MIX_BLOCK
 from tripflow.llm.near_dup import near_duplicates
+from tripflow.llm.quality import WINDOW, ledger, mask, passes
 from tripflow.llm.rows import documents
 from tripflow.llm.substring import substring_dedup
 
 
+def op1_benchmark_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(documents(spark, sf_dir), benchmark).drop("tkey")
+
+
 def op2_substring_dedup(spark, sf_dir):
     done = substring_dedup(documents(spark, sf_dir))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -17,11 +26,100 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+def op4_quality_rules(spark, sf_dir):
+    base = F.col("failures").bitwiseAND(F.lit(mask(("few_words", "repeated_windows")))) != 0
+    return ledger(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        base.alias("base_failed"),
+        (~base & passes()).alias("kept"),
+    )
+
+
+def op6_pfair_mixing(spark, sf_dir):
+    mixed = mix_sources(documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", "mix_block", "mix_slot", "mix_row")
+
+
 def op10_minhash_near_dedup(spark, sf_dir):
     found = near_duplicates(documents(spark, sf_dir))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     return found.select("doc_id", "n_shingles", "component_id", kept)
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op10_minhash_near_dedup)}
-SQL: dict[str, str] = {}
+OPERATORS = (
+    op1_benchmark_decontamination,
+    op2_substring_dedup,
+    op4_quality_rules,
+    op6_pfair_mixing,
+    op10_minhash_near_dedup,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
+
+# SQL
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SQL: dict[str, str] = {
+    "op4_quality_rules": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w
+                   FROM documents),
+        spans AS (SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s
+                  FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)),
+        twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM spans)
+                  WHERE n > 1),
+        covered AS (SELECT r, count(DISTINCT i + k) AS n
+                    FROM twice, (SELECT unnest(range({WINDOW})) AS k) GROUP BY r),
+        lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+        dup AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM lines
+                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+        m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                     CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                     CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT)
+                       AS n_symbols,
+                     coalesce(dup.n, 0) AS n_lines, coalesce(dup.dup, 0) AS n_dup_lines,
+                     coalesce(covered.n, 0) AS n_repeat_words,
+                     len(list_filter(w, lambda x: ends_with(x, '!!'))) AS shouts
+              FROM d LEFT JOIN dup USING (r) LEFT JOIN covered USING (r)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > 3 * n_words
+                    OR 100 * n_dup_lines > 50 * n_lines OR 100 * shouts > 30 * n_words
+                    OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
+        FROM b""",
+    "op6_pfair_mixing": f"""
+        WITH RECURSIVE
+        d AS (SELECT doc_id, source, coalesce(source, '') AS s, coalesce(text, '') AS t,
+                     md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS p FROM documents),
+        c AS (SELECT s, CAST(floor(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT) AS raw,
+                     count(*) OVER () AS sources FROM d GROUP BY s),
+        f AS (SELECT s, row_number() OVER (ORDER BY s) AS number, {PERIOD} - sources AS rest,
+                     CAST(raw * ({PERIOD} - sources) AS BIGINT) AS part,
+                     CAST(sum(raw) OVER () AS BIGINT) AS total FROM c),
+        w AS (SELECT s, number, 1 + part // total
+                       + CASE WHEN row_number() OVER (ORDER BY part % total DESC, s)
+                                <= rest - sum(part // total) OVER () THEN 1 ELSE 0 END AS share
+              FROM f),
+        l AS (SELECT list(CAST(share AS BIGINT) ORDER BY number) AS shares FROM w),
+        pat AS (
+          SELECT CAST(-1 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT))
+                   AS given, CAST(-1 AS BIGINT) AS who FROM l
+          UNION ALL
+          SELECT slot + 1,
+                 list_transform(given, lambda g, i: g + CASE WHEN i = next THEN 1 ELSE 0 END), next
+          FROM (SELECT slot, given, CAST(list_min(list_filter(list_transform(given, lambda g, i:
+                         CASE WHEN g * {PERIOD} < (slot + 2) * shares[i]
+                              THEN {{'due': ceil((g + 1) * {PERIOD} / shares[i]), 'who': i}} END),
+                         lambda x: x IS NOT NULL))['who'] AS BIGINT) AS next
+                FROM pat, l WHERE slot < {PERIOD - 1})),
+        turns AS (SELECT who, slot, row_number() OVER (PARTITION BY who ORDER BY slot) - 1 AS nth
+                  FROM pat WHERE slot >= 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY p, t) - 1 AS row FROM d),
+        b AS (SELECT *, row // {MIX_BLOCK} AS mix_block, row % {MIX_BLOCK} AS mix_row FROM n)
+        SELECT doc_id, source, mix_block, (mix_block // share) * {PERIOD} + slot AS mix_slot, mix_row
+        FROM b JOIN w USING (s) JOIN turns ON who = number AND nth = mix_block % share""",
+}

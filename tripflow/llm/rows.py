@@ -44,11 +44,15 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def checksum(name: str = "text") -> Column:
+    return (F.crc32(text_of(name)) - (1 << 31)).cast("int")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """ord, tkey, text: what tells rows apart, and the text."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
-        (F.crc32(text_of()) - (1 << 31)).cast("int").alias("tkey"),
+        checksum().alias("tkey"),
         text_of().alias("text"),
     )
 

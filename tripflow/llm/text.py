@@ -20,6 +20,8 @@ CHUNK_BYTES = 2_000_000
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
+_IS_LETTER = np.zeros(256, dtype=bool)
+_IS_LETTER[128:] = _IS_LETTER[48:58] = _IS_LETTER[65:91] = _IS_LETTER[97:123] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -120,10 +122,13 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarr
 class Words:
     """Words of a piece: byte range of each, and the range of words of each row."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(
+        self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, letters: bool = False
+    ):
+        """`letters`: words are runs of ASCII letters, digits and bytes above 127 instead."""
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
-        solid = ~_IS_SPACE[data]
+        solid = _IS_LETTER[data] if letters else ~_IS_SPACE[data]
         n = len(solid)
         edge = np.zeros(n + 1, dtype=bool)
         edge[offsets] = True
