@@ -84,23 +84,25 @@ def repetitions(words: int, recall: float = RECALL) -> int:
     if edits == 0:
         return 1
     rng = np.random.default_rng(words)
-    shares = []
-    for trial in range(100):
-        item = rng.integers(1, 1 << 62, words).astype(np.uint64)
+    texts = []
+    for _ in range(100):
+        item = rng.integers(1, 1 << 62, words).tolist()
         text = list(item)
         for _ in range(edits):
-            kind, place = rng.integers(3), int(rng.integers(len(text)))
+            kind, place = int(rng.integers(3)), int(rng.integers(len(text)))
             if kind == 0:
-                text[place] = np.uint64(rng.integers(1, 1 << 62))
+                text[place] = int(rng.integers(1, 1 << 62))
             elif kind == 1:
-                text.insert(place, np.uint64(rng.integers(1, 1 << 62)))
+                text.insert(place, int(rng.integers(1, 1 << 62)))
             else:
                 del text[place]
-        text = np.array((text + [np.uint64(7)] * words)[:words], dtype=np.uint64)
-        both = np.concatenate([item, text])
-        bases, sizes = np.array([0, words]), np.array([words, words])
-        a, b = _walk(both, bases, sizes, bases, bases + words, trial, steps)
-        shares.append(((a == b) & (a != _NONE)).mean())
+        texts += [item, (text + [7] * words)[:words]]
+    flat = np.array(texts, dtype=np.uint64).ravel()
+    bases, sizes = np.arange(len(texts)) * words, np.full(len(texts), words)
+    shares = []
+    for walk in range(WALKS):
+        seen = _walk(flat, bases, sizes, bases, bases + words, walk, steps)
+        shares += list(((seen[::2] == seen[1::2]) & (seen[::2] != _NONE)).mean(axis=1))
     share = max(0.02, float(np.quantile(shares, 0.05)))
     needed = math.log(1 - recall) / math.log(1 - share**SAMPLED)
     return max(1, math.ceil(needed / WALKS))

@@ -20,11 +20,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.llm.rows import KEY, doc_id, keyed, lists, packed, prepare, unpacked
+from tripflow.llm.rows import KEY, LAST, checksum, doc_id, keyed, lists, packed, prepare, unpacked
 from tripflow.llm.sketch import SHINGLE, Sketcher, bands, shingle_sets
 from tripflow.llm.text import Words, mix, signed, texts_of
 from tripflow.session import durable
@@ -233,13 +233,14 @@ def near_duplicates(
     rows: int = ROWS,
     n_bands: int = BANDS,
 ) -> DataFrame:
-    """doc_id, tkey, n_shingles, component_id: one row for each row of `docs`.
+    """doc_id, tkey, n_shingles, component_id, first: one row for each row of `docs`.
 
     A document's set are its different shingles of `shingle` words (A-Z lower-cased, words are runs
     of [^\\x20\\x09-\\x0D]); a shorter text is one shingle, a text without words has none and is
     linked with nothing. Documents are linked where 100 * intersection >= percent * union;
     `component_id` is the smallest doc_id reachable over links, the row's own included. A row
-    without doc_id gets the component's smallest id, and none where no row there has one.
+    without doc_id gets the component's smallest id, and none where no row there has one. `first`
+    marks the component's first row by doc_id and checksum of the text (rows that repeat: each).
     """
     prepare(docs.sparkSession)
     keys = keyed(docs)
@@ -281,9 +282,29 @@ def near_duplicates(
     links = _links(members, sets, percent, rows * n_bands)
     labels = components(links)
     final = placed.select("v", *KEY, "n").join(durable(labels, "final"), "v", "left")
+    label = F.coalesce("label", "v")
     return final.select(
         doc_id(),
         "tkey",
         F.col("n").alias("n_shingles"),
-        F.nullif(F.coalesce("label.ord", "v.ord"), F.lit((1 << 63) - 1)).alias("component_id"),
+        F.nullif(label["ord"], F.lit(LAST)).alias("component_id"),
+        (label == F.struct(*KEY)).alias("first"),
     )
+
+
+def keep_one(docs: DataFrame, **options: int) -> DataFrame:
+    """One row of `docs` for each component, with the columns of `docs`.
+
+    Stays: the first by doc_id, then by checksum of the text. Rows without words are linked with
+    nothing and stay, each different doc_id and text once.
+    """
+    found = near_duplicates(docs, **options).where("first")
+    firsts = found.select(F.coalesce("doc_id", F.lit(LAST)).alias("_ord"), F.col("tkey").alias("_tkey"))
+    rows = docs.withColumns(
+        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_tkey": checksum()}
+    )
+    kept = rows.join(firsts.distinct(), ["_ord", "_tkey"], "left_semi")
+    # Rows that repeat; the join has them sorted and together.
+    repeat = Window.partitionBy("_ord", "_tkey").orderBy("_ord", "_tkey")
+    kept = kept.withColumn("_repeat", F.row_number().over(repeat)).where("_repeat = 1")
+    return kept.select(*docs.columns)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tripflow.llm import classifier, toxicity
 from tripflow.llm.decontaminate import find_leaks
+from tripflow.llm.labelled import held_out
 from tripflow.llm.mixing import PERIOD, mix_sources
 from tripflow.llm.mixing import BLOCK as MIX_BLOCK
 from tripflow.llm.near_dup import near_duplicates
+from tripflow.llm.parsing import byte_dedup
 from tripflow.llm.quality import WINDOW, ledger, mask, passes
-from tripflow.llm.rows import documents
+from tripflow.llm.rows import documents, prepare
 from tripflow.llm.substring import substring_dedup
+from tripflow.llm.tokencount import token_counts
+from tripflow.llm.urls import judge
 
 
 def op1_benchmark_decontamination(spark, sf_dir):
@@ -26,6 +31,37 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+# Captures and list actions out of the pages: fetch times and dates follow page ids.
+CAPTURES = """
+    SELECT page_id, url, TIMESTAMP '2024-01-01' + (page_id * 7919 % 2592000) * INTERVAL 1 SECOND
+        AS fetched_at
+    FROM pages"""
+HOSTS = """
+    SELECT regexp_replace(regexp_extract(url, '://([^/?#:]*)', 1), '^(www|m|blog)[.]', '') AS host,
+           regexp_extract(url, '://[^/?#]*/([a-z]+)', 1) AS head, min(page_id) AS k
+    FROM pages GROUP BY ALL"""
+LISTED = """
+    SELECT host AS entry, 'blocked' AS category, 'add' AS action, k % 20 AS day FROM hosts
+    WHERE k % 2 = 0
+    UNION ALL SELECT host, 'blocked', 'remove', k % 20 + 3 + k % 7 FROM hosts WHERE k % 2 = 0
+    UNION ALL SELECT host, 'blocked', 'add', k % 20 + 6 + k % 7 FROM hosts WHERE k % 6 = 0
+    UNION ALL SELECT host || '/' || head, 'section', 'add', k % 10 FROM hosts
+    WHERE k % 5 = 0 AND head != ''
+    UNION ALL SELECT 'example.org', 'domain', 'add', 25"""
+
+
+def op3_url_filters(spark, sf_dir):
+    prepare(spark).read.parquet(f"{sf_dir}/pages.parquet").createOrReplaceTempView("llm_pages")
+    captures = spark.sql(CAPTURES.replace("FROM pages", "FROM llm_pages"))
+    hosts = HOSTS.replace("FROM pages", "FROM llm_pages")
+    day = "TIMESTAMP '2024-01-01' + day * INTERVAL 1 DAY AS at"
+    actions = spark.sql(f"WITH hosts AS ({hosts}), listed AS ({LISTED}) SELECT *, {day} FROM listed")
+    judged = judge(captures, actions)
+    return judged.select(
+        "page_id", F.array_join("categories", ",").alias("categories"), "matches"
+    )
+
+
 def op4_quality_rules(spark, sf_dir):
     base = F.col("failures").bitwiseAND(F.lit(mask(("few_words", "repeated_windows")))) != 0
     return ledger(documents(spark, sf_dir)).select(
@@ -40,11 +76,44 @@ def op4_quality_rules(spark, sf_dir):
     )
 
 
+def _predictions(scored, threshold):
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
+def op5_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _predictions(toxicity.toxicity(docs, lexicon), 0.3)
+
+
 def op6_pfair_mixing(spark, sf_dir):
     mixed = mix_sources(documents(spark, sf_dir))
     return mixed.select("doc_id", "source", "mix_block", "mix_slot", "mix_row")
 
 
+def op7_prefix_free_dedup(spark, sf_dir):
+    done = byte_dedup(documents(spark, sf_dir))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op8_token_counts(spark, sf_dir):
+    return token_counts(documents(spark, sf_dir)).drop("tkey")
+
+
+def op9_quality_classifier(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _predictions(classifier.quality_scores(docs, model), 0.7)
+
+
 def op10_minhash_near_dedup(spark, sf_dir):
     found = near_duplicates(documents(spark, sf_dir))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
@@ -54,8 +123,13 @@ def op10_minhash_near_dedup(spark, sf_dir):
 OPERATORS = (
     op1_benchmark_decontamination,
     op2_substring_dedup,
+    op3_url_filters,
     op4_quality_rules,
+    op5_toxicity,
     op6_pfair_mixing,
+    op7_prefix_free_dedup,
+    op8_token_counts,
+    op9_quality_classifier,
     op10_minhash_near_dedup,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
@@ -65,6 +139,30 @@ QUERIES = {f.__name__: f for f in OPERATORS}
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 SQL: dict[str, str] = {
+    "op3_url_filters": rf"""
+        WITH hosts AS ({HOSTS}), listed AS ({LISTED}),
+        turned AS (SELECT * FROM (SELECT *, lag(action) OVER w AS before FROM listed
+                                  WINDOW w AS (PARTITION BY entry, category ORDER BY day, action))
+                   WHERE coalesce(before, 'remove') != action),
+        spans AS (SELECT *, lead(day) OVER (PARTITION BY entry, category ORDER BY day, action)
+                    AS until FROM turned),
+        valid AS (SELECT entry, category, split_part(entry, '/', 1) AS domain,
+                         CASE WHEN entry LIKE '%/%' THEN '/' || split_part(entry, '/', 2) || '/'
+                              ELSE '/' END AS head,
+                         TIMESTAMP '2024-01-01' + day * INTERVAL 1 DAY AS valid_from,
+                         TIMESTAMP '2024-01-01' + until * INTERVAL 1 DAY AS valid_to
+                  FROM spans WHERE action = 'add'),
+        asked AS (SELECT DISTINCT *, lower(regexp_extract(url, '://([^/?#:]*)', 1)) AS host,
+                         lower(regexp_extract(url, '://[^/?#]*([^?#]*)', 1)) || '/' AS path
+                  FROM ({CAPTURES})),
+        hits AS (SELECT page_id, url, fetched_at, entry, category FROM asked JOIN valid
+                 ON (host = domain OR ends_with(host, '.' || domain))
+                    AND starts_with(path, head) AND valid_from <= fetched_at
+                    AND (valid_to IS NULL OR fetched_at < valid_to))
+        SELECT page_id, coalesce(string_agg(DISTINCT category, ',' ORDER BY category), '')
+                 AS categories, count(DISTINCT entry) AS matches
+        FROM asked LEFT JOIN hits USING (page_id, url, fetched_at)
+        GROUP BY page_id, url, fetched_at""",
     "op4_quality_rules": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w
                    FROM documents),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.rows import KEY, doc_id, keyed, lists, packed, prepare, unpacked
+from tripflow.llm.rows import KEY, LAST, checksum, doc_id, keyed, lists, packed, prepare, unpacked
 from tripflow.llm.text import WORDS, WORDS2, Words, lowest_in_window, signed, texts_of
 from tripflow.session import durable
 
@@ -311,3 +311,26 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) ->
         )
         cut = _apply(rows, spans.join(wrong, [*KEY, "path", "n_edges"], "left_anti"), span, "cut")
     return cut.select(doc_id(), "tkey", "n_words", "kept_text", "removed")
+
+
+def cut_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> DataFrame:
+    """The rows of `docs` without repeated passages, with the columns of `docs`.
+
+    A text that loses words becomes its kept words joined by one space, and `n_chars`, where there
+    is such a column, the length of that; other rows stay as they are. Rows that lose all words go.
+    """
+    done = substring_dedup(docs, span, anchor).where(F.size("removed") > 0)
+    changed = done.select(
+        F.coalesce("doc_id", F.lit(LAST)).alias("_ord"),
+        F.col("tkey").alias("_tkey"),
+        F.col("kept_text").alias("_kept"),
+    ).dropDuplicates(["_ord", "_tkey"])
+    rows = docs.withColumns(
+        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_tkey": checksum()}
+    )
+    new = {"text": F.coalesce("_kept", "text")}
+    if "n_chars" in docs.columns:
+        length = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.coalesce(length, "n_chars")
+    met = rows.join(changed, ["_ord", "_tkey"], "left").where("_kept IS NULL OR _kept != ''")
+    return met.withColumns(new).select(*docs.columns)

@@ -165,20 +165,23 @@ def unsigned(x) -> np.ndarray:
     return np.asarray(x, dtype=np.int64).view(np.uint64)
 
 
+_PLACE_BITS = np.uint64(31)
+
+
 def lowest_in_window(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the lowest value (the first of equal ones) in each run of `width` values.
 
-    Two runs with the same values choose the same place. The lowest of a doubled span is the lower
-    of two halves, so log2(width) passes do.
+    Values count by their upper 33 bits, so two runs of the same values choose the same place. The
+    lowest of a run is that of the end of one block of `width` values and the start of the next.
     """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    best = np.arange(len(values))
-    span = 1
-    while 2 * span <= width:
-        left, right = best[:-span], best[span:]
-        best = np.where(values[right] < values[left], right, left)
-        span *= 2
-    left, right = best[:n], best[width - span : width - span + n]
-    return np.where(values[right] < values[left], right, left)
+    places = np.arange(len(values), dtype=np.uint64)
+    packed = np.full(-(-len(values) // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    packed[: len(values)] = (values >> _PLACE_BITS << _PLACE_BITS) | places
+    blocks = packed.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    low = np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+    return (low & np.uint64((1 << 31) - 1)).astype(np.int64)
