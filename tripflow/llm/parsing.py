@@ -120,14 +120,15 @@ def _spell(length: int):
         for batch in batches:
             texts = unpacked(batch.column("packed"))
             rows, entries, spelled = [], [], []
-            for i, found in enumerate(batch.column("phrases").to_pylist()):
+            for i, found in enumerate(batch.column("apart").to_pylist()):
                 raw = texts[i].as_py()
                 for p in found:
                     rows.append(i)
                     entries.append(p)
                     spelled.append(raw[p["begin"] : p["begin"] + p["count"] + length - 1])
             which = pa.array(rows, pa.int64())
-            kinds = {"trigger": pa.int64(), "begin": pa.int32(), "count": pa.int32(), "before": pa.int32()}
+            kinds = {"trigger": pa.int64(), "n": pa.int64()}
+            kinds |= {name: pa.int32() for name in ("begin", "count", "before")}
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("ord").take(which),
@@ -209,8 +210,13 @@ def _strings(length: int):
     return strings
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group: int = GROUP) -> DataFrame:
-    """ord, tkey, low, high: ranges of first bytes of strings that also start earlier."""
+def repeats(
+    docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group: int = GROUP
+) -> tuple[DataFrame, DataFrame]:
+    """Ranges of first bytes of strings that also start earlier, from whole phrases and within them.
+
+    First: ord, tkey, later (ranges low, high of each document). Second: ord, tkey, low, high.
+    """
     prepare(docs.sparkSession)
     rows = keyed(docs)
     parse = rows.mapInArrow(_scan(length, trigger), "ord long, tkey int, trigger long, place int")
@@ -224,44 +230,44 @@ def repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group
     )
     firsts = phrases.groupBy("trigger", "content").agg(F.min(F.struct(*KEY, "begin")).alias("first"))
     dictionary = durable(firsts, "dictionary")
-    met = phrases.join(dictionary, ["trigger", "content"])
-    here = F.struct(*KEY, "begin")
-    later = met.where(here != F.col("first")).select(
-        *KEY, F.col("begin").alias("low"), (F.col("begin") + F.col("count")).alias("high")
-    )
-    several = durable(
-        dictionary.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "several"
-    )
-    # First occurrences around triggers with several phrases, with their bytes.
-    apart = (
-        met.where(here == F.col("first"))
-        .select(*KEY, "trigger", "begin", "count", "before")
-        .distinct()
-        .join(several.select("trigger"), "trigger")
+    several = dictionary.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    known = dictionary.join(durable(several, "several"), "trigger", "left")
+    # Per document: what occurred before as a whole, and first occurrences that may share strings
+    # with other phrases around their trigger.
+    here = F.struct(*KEY, "begin") == F.col("first")
+    high = (F.col("begin") + F.col("count")).alias("high")
+    of_doc = durable(
+        phrases.join(known, ["trigger", "content"])
+        .where(~here | F.col("n").isNotNull())
+        .select(
+            *KEY,
+            F.when(~here, F.struct(F.col("begin").alias("low"), high)).alias("later"),
+            F.when(here, F.struct("trigger", "n", "begin", "count", "before")).alias("apart"),
+        )
         .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("trigger", "begin", "count", "before")).alias("phrases"))
+        .agg(F.collect_set("later").alias("later"), F.collect_set("apart").alias("apart")),
+        "parse",
     )
     spelled = durable(
         packed(rows)
-        .dropDuplicates(KEY)
-        .join(apart, KEY)
+        .join(of_doc.where(F.size("apart") > 0).select(*KEY, "apart"), KEY)
         .mapInArrow(
             _spell(length),
-            "ord long, tkey int, trigger long, begin int, count int, before int, bytes binary",
+            "ord long, tkey int, trigger long, n long, begin int, count int, before int, bytes binary",
         ),
         "spelled",
     )
     spans = "ord long, tkey int, low int, high int"
-    sized = spelled.join(several, "trigger")
     in_place = (
-        sized.where(F.col("n") <= group)
+        spelled.where(F.col("n") <= group)
         .groupBy("trigger")
-        .agg(F.collect_list(F.struct(*KEY, "begin", "count", "before", "bytes")).alias("group"))
+        # A set: equal rows of the table are one document.
+        .agg(F.collect_set(F.struct(*KEY, "begin", "count", "before", "bytes")).alias("group"))
         .select("group")
         .mapInArrow(_shared(length, trigger), spans)
     )
     strings = durable(
-        sized.where(F.col("n") > group)
+        spelled.where(F.col("n") > group)
         .select(*KEY, "trigger", "begin", "bytes")
         .mapInArrow(_strings(length), "ord long, tkey int, trigger long, string long, low int"),
         "strings",
@@ -278,7 +284,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group
         .where(F.struct(*KEY, "low") != F.col("first"))
         .select(*KEY, "low", (F.col("low") + 1).alias("high"))
     )
-    return later.unionByName(in_place).unionByName(counted)
+    return of_doc.select(*KEY, "later"), in_place.unionByName(counted)
 
 
 def _cut(length: int):
@@ -289,7 +295,7 @@ def _cut(length: int):
             for i, found in enumerate(batch.column("spans").to_pylist()):
                 raw = np.frombuffer(texts[i].as_py(), dtype=np.uint8)
                 keep = np.ones(len(raw), dtype=bool)
-                for s in found or ():
+                for s in found:
                     keep[s["low"] : s["high"] + length - 1] = False
                 edges = np.flatnonzero(np.diff(np.concatenate(([1], keep, [1])).astype(np.int8)))
                 sizes.append(len(raw))
@@ -321,10 +327,15 @@ def byte_dedup(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, gr
     Rows of one doc_id but different texts come in the order of their texts' checksums; equal rows
     are one document. Texts below `length` bytes, empty and missing texts lose nothing.
     """
-    found = repeats(docs, length, trigger, group).distinct()
-    spans = found.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    later, within = repeats(docs, length, trigger, group)
+    within = within.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("within"))
     schema = (
         "ord long, tkey int, n_bytes long, kept binary, removed array<struct<start:int,end:int>>"
     )
-    cut = packed(keyed(docs)).join(spans, KEY, "left").mapInArrow(_cut(length), schema)
+    none = F.array().cast("array<struct<low:int,high:int>>")
+    found = packed(keyed(docs)).join(later, KEY, "left").join(within, KEY, "left")
+    found = found.withColumn(
+        "spans", F.concat(F.coalesce("later", none), F.coalesce("within", none))
+    )
+    cut = found.select(*KEY, "packed", "spans").mapInArrow(_cut(length), schema)
     return cut.select(doc_id(), "tkey", "n_bytes", "kept", "removed")
