@@ -7,8 +7,8 @@
    as many pairs as members, not their square. Links give components.
 3. A bucket that still spans several components is compared further, until nothing is left: its
    members are dealt into blocks, pairs of blocks compare the sketches of members of different
-   components, and every pair that may reach the threshold is verified on full sets; the best
-   pair of each document and component first, the others if they are still apart after that.
+   components, and every pair that may reach the threshold is verified on full sets: the best
+   pair of each document first, the others if they are still apart after that.
 
 No bucket is capped. What decides is always the full sets; sketches only propose. With b bands of
 r rows a pair of similarity s shares no bucket with probability (1 - s**r)**b, 2e-6 at 0.85.
@@ -32,15 +32,19 @@ from tripflow.session import durable
 PERCENT = 85
 ROWS = 6
 BANDS = 28
+#: Coordinates of a sketch; the first ROWS * BANDS make the bands, all of them the estimates.
+COORDINATES = 504
+#: Rounds in which each member of an unresolved bucket is compared with the most similar other.
+BEST_ROUNDS = 2
 #: Members of a block of an unresolved bucket.
 BLOCK = 64
 #: Standard deviations by which a sketch may understate the similarity of a pair.
 SLACK = 4.0
 
 
-def _scan(shingle: int, rows: int, n_bands: int):
+def _scan(shingle: int, rows: int, n_bands: int, coordinates: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher(rows * n_bands)
+        sketcher = Sketcher(coordinates)
         for batch in batches:
             for first, data, offsets in texts_of(batch.column("text")):
                 sets = shingle_sets(Words(data, offsets, lower=True), shingle)
@@ -50,7 +54,7 @@ def _scan(shingle: int, rows: int, n_bands: int):
                     set2.append(int(mix(elements ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)))
                     if len(elements):
                         sketch = sketcher.sketch(elements)
-                        keys.append(bands(sketch, rows))
+                        keys.append(bands(sketch[: rows * n_bands], rows))
                         prints.append(mix(sketch).astype(np.uint8).tobytes())
                     else:
                         keys.append(np.zeros(0, dtype=np.uint64))
@@ -202,28 +206,24 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, coordinates: int)
     pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     if pairs.isEmpty():
         return links
-    of_a = labels.select(F.col("v").alias("a"), F.col("label").alias("a_label"))
-    of_b = labels.select(F.col("v").alias("b"), F.col("label").alias("b_label"))
 
     def apart(left: DataFrame) -> DataFrame:
-        met = left.join(of_a, "a", "left").join(of_b, "b", "left")
-        met = met.withColumn("a_label", F.coalesce("a_label", "a"))
-        met = met.withColumn("b_label", F.coalesce("b_label", "b"))
-        return met.where("a_label != b_label")
-
-    best = (
-        apart(pairs)
-        .groupBy("a", "b_label")
-        .agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        .select("a", "b")
-    )
-    best = durable(best, "best")
-    links = links.union(_verified(best, sets, percent))
-    labels = components(links)
-    of_a = labels.select(F.col("v").alias("a"), F.col("label").alias("a_label"))
-    of_b = labels.select(F.col("v").alias("b"), F.col("label").alias("b_label"))
-    rest = apart(pairs.join(best, ["a", "b"], "left_anti")).select("a", "b")
-    return links.union(_verified(durable(rest, "rest"), sets, percent))
+        """Pairs whose ends are in different components by now."""
+        of = labels.select("v", "label")
+        met = left.join(of.select(F.col("v").alias("a"), F.col("label").alias("la")), "a", "left")
+        met = met.join(of.select(F.col("v").alias("b"), F.col("label").alias("lb")), "b", "left")
+        return met.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "agree")
+
+    # As many pairs as members each time; most of what is apart meets here.
+    for _ in range(BEST_ROUNDS):
+        best = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        best = durable(best, "best")
+        links = durable(links.union(_verified(best, sets, percent)), "links")
+        labels = components(links)
+        pairs = durable(apart(pairs.join(best, ["a", "b"], "left_anti")), "pairs")
+        if pairs.isEmpty():
+            return links
+    return links.union(_verified(pairs.select("a", "b"), sets, percent))
 
 
 def near_duplicates(
@@ -232,6 +232,7 @@ def near_duplicates(
     shingle: int = SHINGLE,
     rows: int = ROWS,
     n_bands: int = BANDS,
+    coordinates: int = COORDINATES,
 ) -> DataFrame:
     """doc_id, tkey, n_shingles, component_id, first: one row for each row of `docs`.
 
@@ -246,7 +247,7 @@ def near_duplicates(
     keys = keyed(docs)
     scanned = durable(
         keys.mapInArrow(
-            _scan(shingle, rows, n_bands),
+            _scan(shingle, rows, n_bands, max(coordinates, rows * n_bands)),
             "ord long, tkey int, n long, set1 long, set2 long, bands array<long>, print binary",
         ),
         "sketches",
@@ -279,7 +280,7 @@ def near_duplicates(
     )
     prints = heads.select("v", "print").join(wanted.select(F.struct(*KEY).alias("v")), "v")
     members = members.join(prints, "v")
-    links = _links(members, sets, percent, rows * n_bands)
+    links = _links(members, sets, percent, max(coordinates, rows * n_bands))
     labels = components(links)
     final = placed.select("v", *KEY, "n").join(durable(labels, "final"), "v", "left")
     label = F.coalesce("label", "v")
