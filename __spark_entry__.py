@@ -9,26 +9,29 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, TimestampType
 
-from tripflow.functions.identity import content_id, source_row_id
+from tripflow.functions.identity import content_id, source_row_id, with_file_ids
 from tripflow.operators.anomaly import detect, hour_stats, score
 from tripflow.operators.clean import clean
 from tripflow.operators.hourly import HOUR_KEYS, hour_stats_from, hourly
 from tripflow.operators.quantile import exact_quantile
-from tripflow.operators.rules import detect_rules
+from tripflow.operators.rules import RULES, detect_rules
 from tripflow.plans import jobs
 from tripflow.session import configure, scratch
 from tripflow.sources.events import raw_trips, topic_records
+from tripflow.sources.raw import read_raw
 from tripflow.sources.topics import file_topics, parse_values
 from tripflow.streaming.detect import detect_stream, freeze_stats
 from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.sink import INGESTION_TIME, time_partitioned_sink
 from tripflow.tables.catalog import create_tables, describe, list_tables
 from tripflow.tables.compact import compact
+from tripflow.tables.files import Files
 from tripflow.tables.purge import purge
 from tripflow.tables.write import append, overwrite_partitions, replace
 
@@ -132,7 +135,7 @@ def stat_rows(df: DataFrame) -> DataFrame:
 
 
 def raw_scan_count(spark, sf_dir):
-    return jobs.row_counts({"raw": raw_trips(events(spark, sf_dir))})
+    return jobs.row_counts({"raw": read_raw(spark, raw_files(spark, sf_dir))})
 
 
 def trips_clean(spark, sf_dir):
@@ -151,7 +154,19 @@ def surrogate_ids(spark, sf_dir):
         )
         for name, way in ways.items()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    # The same files numbered twice, as two appends would.
+    files = read_raw(spark, raw_files(spark, sf_dir))
+    first, second = (
+        clean(with_file_ids(files, "trip_id", n), F.col("trip_id")) for n in (0, 1000)
+    )
+    counts.append(
+        first.unionByName(second).agg(
+            F.lit("file").alias("way"),
+            F.count(F.lit(1)).alias("trips"),
+            F.countDistinct("trip_id").alias("ids"),
+        )
+    )
+    return reduce(DataFrame.unionByName, counts)
 
 
 def trips_by_partition(spark, sf_dir):
@@ -256,6 +271,16 @@ def rule_long_idle(spark, sf_dir):
     return anomaly_rows(detect_rules(trips(spark, sf_dir), ["long_idle"]))
 
 
+def rules_in_job(spark, sf_dir):
+    """Events by type after the job has run twice with all rules, the second run in place of the first."""
+    namespace = fresh_tables(spark)
+    jobs.ingest(spark, raw_trips(events(spark, sf_dir)), namespace, F.col("event_id"))
+    for mode in ("append", "overwrite_partitions"):
+        jobs.aggregate(spark, namespace, mode=mode, rules=list(RULES))
+    found = spark.table(f"{namespace}.anomaly_events").groupBy("anomaly_type")
+    return found.agg(F.count(F.lit(1)).alias("events"))
+
+
 # Queries: tables
 
 
@@ -287,10 +312,12 @@ def append_roundtrip(spark, sf_dir):
 
 
 def overwrite_roundtrip(spark, sf_dir):
-    """Written twice; the second run replaces what the first wrote."""
+    """Two deliveries that share a day; the second, written twice, leaves the first's rows there."""
     table = f"{fresh_tables(spark)}.taxi_trips"
-    for _ in range(2):
-        overwrite_partitions(trips(spark, sf_dir), table)
+    rows = trips(spark, sf_dir)
+    early = (F.col("pickup_day") < 15) | ((F.col("pickup_day") == 15) & (F.col("trip_id") % 2 == 0))
+    for delivery in (rows.where(early), rows.where(~early), rows.where(~early)):
+        overwrite_partitions(delivery, table, "trip_id")
     return per_day(spark.table(table))
 
 
@@ -389,10 +416,19 @@ def ingestion_time_present(spark, sf_dir):
 
 
 def stream_incremental(spark, sf_dir):
-    """Files taken in twice; the second run finds nothing new."""
-    namespace, folder = fresh_tables(spark), raw_files(spark, sf_dir)
-    log = scratch(spark, "intake-log")
-    for _ in range(2):
+    """Two deliveries, the second of files dated ten days earlier; a third run finds nothing new."""
+    namespace, folder, log = fresh_tables(spark), scratch(spark, "raw"), scratch(spark, "intake-log")
+    raw = raw_trips(events(spark, sf_dir))
+    seen = set()
+    for delivery in (raw.where("event_id % 3 = 0"), raw.where("event_id % 3 != 0"), None):
+        if delivery is not None:
+            delivery.drop("event_id").repartition(2).write.mode("append").parquet(folder)
+            files = Files(spark, folder)
+            new = set(files.walk(folder)) - seen
+            if seen:
+                for path in new:
+                    files.date_back(path, 10)
+            seen |= new
         ingest_new_files(spark, folder, log, namespace).awaitTermination()
     return per_day(spark.table(f"{namespace}.taxi_trips"))
 
@@ -434,6 +470,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rule_low_tip": rule_low_tip,
         "rule_outlier_distance": rule_outlier_distance,
         "rule_long_idle": rule_long_idle,
+        "rules_in_job": rules_in_job,
         "table_listing": table_listing,
         "append_roundtrip": append_roundtrip,
         "overwrite_roundtrip": overwrite_roundtrip,
@@ -587,7 +624,8 @@ def oracle_sql() -> dict[str, str]:
         "trips_clean": all_trips,
         "surrogate_ids": f"""
             WITH {TRIPS}
-            SELECT unnest(['task', 'source', 'content']) AS way, n AS trips, n AS ids
+            SELECT unnest(['task', 'source', 'content', 'file']) AS way,
+                   n * unnest([1, 1, 1, 2]) AS trips, n * unnest([1, 1, 1, 2]) AS ids
             FROM (SELECT count(*) AS n FROM trips)""",
         "trips_by_partition": PER_DAY,
         "hourly_agg": all_hours,
@@ -651,6 +689,17 @@ def oracle_sql() -> dict[str, str]:
         "rule_long_idle": f"""
             WITH {TRIPS}, {idle}, {_scored('gap', base='gaps')}
             {_events('z > 3', "'long_idle'", fare='fare_amount')}""",
+        "rules_in_job": " UNION ALL ".join(
+            f"""SELECT * FROM (WITH {TRIPS}{more}, {_scored(measure, base=base)}
+                SELECT {kind} AS anomaly_type, count(*) AS events FROM scored WHERE {limit}
+                GROUP BY ALL HAVING count(*) > 0)"""
+            for measure, base, more, kind, limit in (
+                ("fare_amount", "trips", "", FARE_TYPE, "abs(z) > 3"),
+                ("tip_amount", "trips", "", "'low_tip'", "z < -3"),
+                ("trip_distance", "trips", "", "'outlier_distance'", "abs(z) > 3"),
+                ("gap", "gaps", f", {idle}", "'long_idle'", "z > 3"),
+            )
+        ),
         "table_listing": f"""
             WITH {TRIPS}, {_scored('fare_amount')}
             SELECT 'taxi_trips' AS table_name, (SELECT count(*) FROM trips) AS rows,

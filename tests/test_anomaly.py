@@ -5,6 +5,7 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tripflow.operators.anomaly import classify, detect, hour_stats, score
@@ -164,3 +165,10 @@ def test_hours_cover_all_trips(trips):
     hours = hourly(trips)
     assert hours.agg(F.sum("total_trips")).first()[0] == trips.count()
     assert detect(trips).filter("abs(z_score) <= 3").count() == 0
+
+
+def test_repeated_hours_raise(spark, trips):
+    stats = hour_stats(trips)
+    assert score(trips, stats).count() == trips.count()
+    with pytest.raises(PySparkException):
+        score(trips, stats.unionByName(stats)).collect()

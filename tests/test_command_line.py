@@ -25,3 +25,6 @@ def test_jobs_one_after_another(spark, events, folder):
     counts = run("aggregate")
     assert "7890" in counts and "720" in counts and "146" in counts
     assert "7890" in run("sql", "SELECT sum(total_trips) AS n FROM taxi_hourly_agg")
+    assert len(run("sql", "SELECT * FROM taxi_hourly_agg").splitlines()) == 721
+    run("sql", "SELECT * FROM taxi_hourly_agg", "--out", f"{folder}/out")
+    assert spark.read.parquet(f"{folder}/out").count() == 720

@@ -223,3 +223,17 @@ def test_stream_finds_what_the_batch_finds(spark, events, trips, namespace, plac
     found = spark.table(f"{namespace}.{ANOMALIES.name}").select(*names)
     want = detect(trips, stats, event_id="hash").select(*names)
     assert found.count() == 146 and found.exceptAll(want).count() == 0
+
+
+def test_older_files_are_taken_too(spark, events, namespace, places):
+    raw_parts(events, places["in"], 1)
+    ingest_new_files(spark, places["in"], places["log"], namespace).awaitTermination()
+    table = f"{namespace}.{TRIPS.name}"
+    first = spark.table(table).count()
+    files = Files(spark, places["in"])
+    seen = set(files.walk(places["in"]))
+    raw_parts(events, places["in"], 1)
+    for path in set(files.walk(places["in"])) - seen:
+        files.date_back(path, 10)
+    ingest_new_files(spark, places["in"], places["log"], namespace).awaitTermination()
+    assert spark.table(table).count() == 2 * first

@@ -1,5 +1,6 @@
 """Definitions, writes, purge and the jobs."""
 
+import uuid
 from datetime import date
 
 import pytest
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from tripflow.operators.hourly import hourly
 from tripflow.plans import jobs
 from tripflow.schemas import ANOMALIES, HOURLY, MIB, TABLES, TRIPS
+from tripflow.session import scratch
 from tripflow.sources.events import raw_trips
+from tripflow.tables import write
 from tripflow.tables.catalog import (
     create_tables,
     describe,
@@ -123,13 +126,86 @@ def test_failed_replace_leaves_the_table(spark, namespace, trips):
     assert spark.table(table).count() == hourly(trips).count()
 
 
-def test_overwrite_only_named_partitions(spark, namespace, trips):
+def test_strays_do_not_wipe_a_day(spark, namespace, trips):
     table = f"{namespace}.{TRIPS.name}"
     append(trips, table)
-    day = trips.filter("pickup_day = 4").limit(5)
-    overwrite_partitions(day, table)
-    left = trips.filter("pickup_day <> 4").count()
-    assert spark.table(table).count() == left + 5
+    strays = trips.filter("pickup_day = 4").limit(5).withColumn("extra", F.lit(9.0))
+    overwrite_partitions(strays, table, "trip_id")
+    assert spark.table(table).count() == trips.count()
+    assert spark.table(table).filter("extra = 9").count() == 5
+
+
+def test_writes_of_two_threads(spark, trips):
+    """Modes of two writes at a time do not cross."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables = []
+    for _ in range(2):
+        name = f"tests_{uuid.uuid4().hex[:10]}"
+        create_tables(spark, name, scratch(spark, "tables"))
+        tables.append(f"{name}.{TRIPS.name}")
+    append(trips, tables[0])
+    day = trips.filter("pickup_day = 3")
+    with ThreadPoolExecutor(2) as pool:
+        one = pool.submit(lambda: [overwrite_partitions(day, tables[0], "trip_id") for _ in range(3)])
+        two = pool.submit(lambda: [append(day, tables[1]) for _ in range(3)])
+        one.result(), two.result()
+    assert spark.table(tables[0]).count() == trips.count()
+    assert spark.table(tables[1]).count() == 3 * day.count()
+
+
+def test_rerun_leaves_no_stale_events(spark, namespace, trips):
+    append(trips, f"{namespace}.{TRIPS.name}")
+    jobs.aggregate(spark, namespace, mode="overwrite_partitions")
+    events = f"{namespace}.{ANOMALIES.name}"
+    assert spark.table(events).count() == 146
+    replace(trips.withColumn("fare_amount", F.lit(1.0)), f"{namespace}.{TRIPS.name}")
+    jobs.aggregate(spark, namespace, mode="overwrite_partitions")
+    assert spark.table(events).count() == 0
+
+
+def test_failed_write_of_a_replacement(spark, namespace, trips, monkeypatch):
+    """The write itself fails after the old rows have gone: they are put back."""
+    table = f"{namespace}.{HOURLY.name}"
+    replace(hourly(trips), table)
+    whole = write._insert
+
+    def broken(df, table, verb, mode):
+        monkeypatch.setattr(write, "_insert", whole)
+        whole(df.limit(1), table, verb, mode)
+        raise RuntimeError("tasks lost")
+
+    monkeypatch.setattr(write, "_insert", broken)
+    with pytest.raises(RuntimeError):
+        replace(hourly(trips.filter("pickup_day < 9")), table)
+    assert spark.table(table).count() == 720
+    assert not write.recover(spark, table)
+
+
+def test_replacement_is_finished_after_a_crash(spark, namespace, trips, folder):
+    table = f"{namespace}.{HOURLY.name}"
+    replace(hourly(trips), table)
+    spark.table(table).filter("pickup_day < 3").write.parquet(folder)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{write.REPLACING}' = '{folder}')")
+    assert write.recover(spark, table)
+    assert spark.table(table).count() == 48
+    assert not write.recover(spark, table)
+
+
+def test_value_that_does_not_fit_leaves_the_table(spark, namespace, trips):
+    table = f"{namespace}.{HOURLY.name}"
+    replace(hourly(trips), table)
+    with pytest.raises(PySparkException):
+        replace(hourly(trips).withColumn("pickup_hour", F.lit(2**40)), table)
+    assert spark.table(table).count() == 720
+
+
+def test_file_ids_over_two_ingests(spark, namespace, events, folder):
+    raw_trips(events).drop("event_id").repartition(3).write.parquet(folder)
+    for _ in range(2):
+        jobs.ingest(spark, folder, namespace, ids="file")
+    found = spark.table(f"{namespace}.{TRIPS.name}")
+    assert found.count() == found.select("trip_id").distinct().count() == 2 * 7890
 
 
 def test_settings_are_restored(spark):

@@ -5,8 +5,9 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.operators.rules import RULES
 from tripflow.plans import jobs
 from tripflow.schemas import TRIPS
 from tripflow.session import build_session
@@ -25,14 +26,16 @@ def _arguments() -> argparse.Namespace:
     commands.add_parser("create", help="create namespace and tables")
     ingest = commands.add_parser("ingest", help="clean raw files into the trips table")
     ingest.add_argument("raw")
-    ingest.add_argument("--mode", choices=sorted(jobs.WRITES), default="append")
+    ingest.add_argument("--mode", choices=jobs.MODES, default="append")
+    ingest.add_argument("--ids", choices=jobs.IDS, default="task")
     ingest.add_argument("--nan", choices=["keep", "drop"], default="keep")
     intake = commands.add_parser("intake", help="clean only files not taken before")
     intake.add_argument("raw")
     intake.add_argument("checkpoint")
     aggregate = commands.add_parser("aggregate", help="hourly table, anomalies, compaction")
     aggregate.add_argument("--p95", choices=["approx", "exact"], default="approx")
-    aggregate.add_argument("--mode", choices=sorted(jobs.WRITES), default="append")
+    aggregate.add_argument("--mode", choices=jobs.MODES, default="append")
+    aggregate.add_argument("--rules", nargs="*", choices=sorted(RULES), default=[])
     sink = commands.add_parser("sink", help="topics to hour-partitioned files")
     sink.add_argument("path")
     sink.add_argument("checkpoint")
@@ -47,6 +50,7 @@ def _arguments() -> argparse.Namespace:
     drop.add_argument("before", type=date.fromisoformat)
     query = commands.add_parser("sql", help="run a query over the tables")
     query.add_argument("text")
+    query.add_argument("--out", help="folder for the whole result as Parquet")
     return parser.parse_args()
 
 
@@ -57,13 +61,15 @@ def main() -> None:
     if args.job == "create":
         tables.show(truncate=False)
     elif args.job == "ingest":
-        jobs.ingest(spark, args.raw, args.namespace, nan=args.nan, mode=args.mode).show()
+        jobs.ingest(spark, args.raw, args.namespace, nan=args.nan, mode=args.mode, ids=args.ids).show()
     elif args.job == "intake":
         ingest_new_files(spark, args.raw, args.checkpoint, args.namespace).awaitTermination()
         jobs.report(spark, args.namespace).show()
     elif args.job == "aggregate":
-        counts = jobs.aggregate(spark, args.namespace, args.p95, mode=args.mode)
-        jobs.maintain(spark, args.namespace).show(truncate=False)
+        counts = jobs.aggregate(
+            spark, args.namespace, args.p95, mode=args.mode, rules=args.rules
+        )
+        _print(jobs.maintain(spark, args.namespace))
         counts.show()
     elif args.job == "sink":
         _sink(spark, args)
@@ -71,10 +77,21 @@ def main() -> None:
         print(purge(spark, f"{args.namespace}.{TRIPS.name}", args.before))
     elif args.job == "sql":
         spark.catalog.setCurrentDatabase(args.namespace)
-        spark.sql(args.text).show(truncate=False)
+        result = spark.sql(args.text)
+        if args.out:
+            result.write.parquet(args.out)
+        else:
+            _print(result)
     spark.stop()
 
 
+def _print(rows: DataFrame) -> None:
+    """All rows, tab separated; they pass through one at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("NULL" if value is None else str(value) for value in row))
+
+
 def _sink(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.servers:
         records = kafka_topics(spark, args.servers, min_partitions=args.tasks)

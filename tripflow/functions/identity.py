@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Bits of an id that hold a row's place in its file.
+FILE_SHIFT = 40
+
+
 def source_row_id() -> Column:
     """64-bit id of a row by its Parquet file and its position there.
 
@@ -14,6 +18,23 @@ def source_row_id() -> Column:
     return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
 
+def with_file_ids(rows: DataFrame, name: str, first_file: int = 0) -> DataFrame:
+    """`rows` of a file scan with an exact id: number of the file, and the row's place in it.
+
+    Files are numbered by path from `first_file`; numbers have 23 bits and places 40, so no two
+    rows share an id. The files' numbers are one small row per file.
+    """
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    scanned = rows.withColumns({"_path": path, "_place": place})
+    files = scanned.select("_path").distinct()
+    number = F.row_number().over(Window.orderBy("_path")) - 1 + first_file
+    numbered = files.withColumn("_file", number.cast("long"))
+    met = scanned.join(numbered, "_path")
+    return met.withColumn(name, F.col("_file") * (1 << FILE_SHIFT) + F.col("_place")).drop(
+        "_path", "_place", "_file"
+    )
+
+
 def content_id(*columns: str) -> Column:
     """64-bit id from the values of `columns`; rows with equal values share it."""
     return F.xxhash64(*columns)

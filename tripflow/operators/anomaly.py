@@ -35,12 +35,27 @@ def hour_stats(trips: DataFrame) -> DataFrame:
     )
 
 
+def one_per_hour(stats: DataFrame) -> DataFrame:
+    """Given statistics, bounded by the hours of day; an hour found twice raises."""
+    repeated = F.raise_error(F.lit("statistics hold an hour of day more than once"))
+    once = F.when(F.count(F.lit(1)) > 1, repeated.cast("double"))
+    return (
+        stats.filter(F.col("pickup_hour").between(*HOURS_OF_DAY))
+        .groupBy("pickup_hour")
+        .agg(
+            F.coalesce(once, F.first("mean_fare")).alias("mean_fare"),
+            F.first("std_fare").alias("std_fare"),
+        )
+    )
+
+
 def score(trips: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Trips with mean_fare, std_fare and z_score; trips without statistics keep NULLs there.
 
-    The statistics have at most 24 rows and are broadcast: the trips are not shuffled.
+    The statistics are brought to one row for each hour of day, at most 24, and broadcast: the
+    trips are not shuffled. Statistics that hold an hour twice raise.
     """
-    stats = hour_stats(trips) if stats is None else stats
+    stats = hour_stats(trips) if stats is None else one_per_hour(stats)
     scored = trips.join(F.broadcast(stats), "pickup_hour", "left")
     return scored.withColumn(
         "z_score", z_score(F.col("fare_amount"), F.col("mean_fare"), F.col("std_fare"))

@@ -27,6 +27,7 @@ from tripflow.functions.scores import (
 )
 from tripflow.operators.anomaly import as_events
 from tripflow.operators.blocks import ordered_blocks
+from tripflow.session import durable
 
 TRIP_ORDER = ("vendor_id", "pickup_datetime", "trip_id")
 # What every event takes from its trip.
@@ -107,7 +108,8 @@ def detect_rules(
     inputs = {column for name in rules for column in RULES[name].inputs} - set(EVENT_INPUT)
     measured = trips.select(*EVENT_INPUT, *sorted(inputs))
     if LONG_IDLE in rules:
-        measured = idle_gaps(measured, blocks)
+        # Statistics and scores read the gaps; they are worked out once.
+        measured = durable(idle_gaps(measured, blocks), "gaps")
     statistics = []
     for name in rules:
         measure = RULES[name].measure

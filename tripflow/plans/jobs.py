@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.identity import FILE_SHIFT, source_row_id, with_file_ids
+from tripflow.functions.scores import LOW_FARE, SURGE_FARE
 from tripflow.operators.anomaly import detect
 from tripflow.operators.clean import clean
 from tripflow.operators.hourly import hour_stats_from, hourly
+from tripflow.operators.rules import detect_rules
 from tripflow.schemas import ANOMALIES, HOURLY, TRIPS
 from tripflow.sources.raw import read_raw
 from tripflow.tables.catalog import NAMESPACE, read_table
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES, compact
 from tripflow.tables.write import append, overwrite_partitions, replace
 
-WRITES = {"append": append, "overwrite_partitions": overwrite_partitions}
+MODES = ("append", "overwrite_partitions")
+#: How trips are numbered: per task, by file and place (unique over all runs of ingest), or by a
+#: hash of both (the same when a file is taken again).
+IDS = ("task", "file", "source")
 
 
 def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -35,11 +42,29 @@ def ingest(
     trip_id: Column | None = None,
     nan: str = "keep",
     mode: str = "append",
+    ids: str = "task",
 ) -> DataFrame:
-    """Clean raw trips (a path or a DataFrame) into the trips table."""
+    """Clean raw trips (a path or a DataFrame) into the trips table.
+
+    `mode` "overwrite_partitions" replaces trips by their id, so it needs ids that are the same on
+    a rerun: a `trip_id` of the caller's, or `ids` "source".
+    """
     rows = read_raw(spark, raw) if isinstance(raw, str) else raw
     table = f"{namespace}.{TRIPS.name}"
-    WRITES[mode](clean(rows, trip_id, nan), table)
+    if trip_id is None and ids == "file":
+        spark.catalog.refreshTable(table)
+        last = spark.table(table).agg(F.max("trip_id")).first()[0]
+        rows = with_file_ids(rows, "trip_id", 0 if last is None else (last >> FILE_SHIFT) + 1)
+        trip_id = F.col("trip_id")
+    elif trip_id is None and ids == "source":
+        trip_id = source_row_id()
+    cleaned = clean(rows, trip_id, nan)
+    if mode == "overwrite_partitions":
+        if trip_id is None or ids == "file":
+            raise ValueError("overwriting needs ids that are the same on a rerun")
+        overwrite_partitions(cleaned, table, "trip_id")
+    else:
+        append(cleaned, table)
     return row_counts({"raw": rows, "trips": spark.table(table)})
 
 
@@ -49,16 +74,26 @@ def aggregate(
     p95: str = "approx",
     event_id: str = "uuid",
     mode: str = "append",
+    rules: Sequence[str] = (),
 ) -> DataFrame:
-    """Replace the hourly table and add the fare anomalies.
+    """Replace the hourly table and add the fare anomalies, and those of `rules`.
 
     The trips are scanned twice: once for the hours, whose moments also give the statistics per
-    hour of day, and once for the scores.
+    hour of day, and once for the scores. As all trips are read, mode "overwrite_partitions" puts
+    the new events in place of all earlier ones of the same types, also where there are none now.
     """
     trips = read_table(spark, TRIPS, namespace)
     hours = replace(hourly(trips, p95, moments=True), f"{namespace}.{HOURLY.name}")
     events = detect(trips, hour_stats_from(hours), event_id=event_id)
-    WRITES[mode](events, f"{namespace}.{ANOMALIES.name}")
+    if rules:
+        events = events.unionByName(detect_rules(trips, rules, event_id=event_id))
+    table = f"{namespace}.{ANOMALIES.name}"
+    if mode == "overwrite_partitions":
+        held = read_table(spark, ANOMALIES, namespace)
+        others = held.where(~F.col("anomaly_type").isin(SURGE_FARE, LOW_FARE, *rules))
+        replace(events.unionByName(others), table)
+    else:
+        append(events, table)
     return report(spark, namespace)
 
 

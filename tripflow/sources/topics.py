@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.raw import ANY_AGE
+
 from tripflow.schemas import TOPICS
 
 UNPARSED = "_unparsed"
@@ -42,7 +44,7 @@ def file_topics(
     spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """The same records from text files of one JSON value per line under `path/topic=<name>/`."""
-    reader = spark.readStream.schema("value string, topic string")
+    reader = spark.readStream.schema("value string, topic string").option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path).select("topic", "value")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.session import durable
+from tripflow.session import durable, scratch
 from tripflow.tables.catalog import partition_columns, target_file_bytes
 
 # Bytes of shuffled rows per byte of snappy Parquet, measured on cleaned trips.
@@ -15,9 +17,14 @@ SHUFFLE_EXPANSION = 2
 # Hash slots of a write. Days that share a slot share its tasks, and each task then leaves a file
 # per day, so there are to be more slots than days; empty ones are merged away.
 WRITE_SLOTS = 4096
+# Table property that names the rows of a replacement under way.
+REPLACING = "tripflow.replacing"
 # Partition files a task keeps open at once. Up to this many it need not sort its rows by
 # partition first; with more it sorts the rest.
 OPEN_FILES = 32
+# A write's settings belong to the session while it runs; writes of one driver take turns, so that
+# none runs under another's overwrite mode.
+_TURN = threading.RLock()
 
 
 @contextmanager
@@ -68,7 +75,7 @@ def _insert(df: DataFrame, table: str, verb: str, mode: str) -> None:
     wanted = write_settings(target_file_bytes(spark, table))
     wanted["spark.sql.sources.partitionOverwriteMode"] = mode
     rows = distribute(df, partition_columns(spark, table))
-    with settings(spark, wanted):
+    with _TURN, settings(spark, wanted):
         spark.sql(f"{verb} {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
@@ -77,18 +84,65 @@ def append(df: DataFrame, table: str) -> None:
     _insert(df, table, "INSERT INTO", "static")
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Put `df` in place of exactly the partitions it has rows for; a rerun adds nothing."""
-    _insert(df, table, "INSERT OVERWRITE", "dynamic")
+def overwrite_partitions(df: DataFrame, table: str, key: str) -> None:
+    """Put `df` in place of the rows with its keys; a rerun adds nothing.
+
+    `key` tells rows apart and is the same on a rerun. Only partitions that `df` has rows for are
+    rewritten, and rows there with other keys stay: a delivery that holds a few strays of a day
+    does not wipe that day. The result is computed in full before a partition goes.
+    """
+    spark = df.sparkSession
+    spark.catalog.refreshTable(table)
+    partitions = partition_columns(spark, table)
+    held = spark.table(table)
+    columns = held.columns
+    new = durable(df.select(*columns), "overwrite")
+    touched = new.select(*partitions).distinct()
+    stay = held.join(touched, partitions, "left_semi").join(new.select(key), key, "left_anti")
+    rows = durable(_typed(new, held).unionByName(stay.select(*columns)), "overwrite")
+    _insert(rows, table, "INSERT OVERWRITE", "dynamic")
+
+
+def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The table's columns in its types; what does not fit raises here, not in the write."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema.fields])
 
 
 def replace(df: DataFrame, table: str) -> DataFrame:
     """Put `df` in place of all rows; columns, comments and partitioning of the table stay.
 
-    The rows are computed in full before the old ones go, so a failing or lost task leaves the
-    table as it was, and `df` may read the table itself. Returns the computed rows.
+    The rows are computed in full, in the table's types, before the old ones go, so an error in
+    them leaves the table as it was, and `df` may read the table itself. Should the write fail
+    after that, the old rows, of which a copy is taken first, are put back. While the write runs
+    the table's property REPLACING names the computed rows: after a crash of the driver, `recover`
+    finishes the replacement. Returns the computed rows.
     """
+    spark = df.sparkSession
+    spark.catalog.refreshTable(table)
+    held = spark.table(table)
     rows = durable(df, "replace")
-    columns = df.sparkSession.table(table).columns
-    _insert(rows.select(*columns), table, "INSERT OVERWRITE", "static")
+    path = scratch(spark, "replace-ready")
+    _typed(rows, held).write.parquet(path)
+    ready = spark.read.schema(held.schema).parquet(path)
+    old = durable(held, "replaced")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REPLACING}' = '{path}')")
+    try:
+        _insert(ready, table, "INSERT OVERWRITE", "static")
+    except Exception:
+        _insert(old, table, "INSERT OVERWRITE", "static")
+        raise
+    finally:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{REPLACING}')")
     return rows
+
+
+def recover(spark: SparkSession, table: str) -> bool:
+    """Finish a replacement that a crash has interrupted; says whether there was one."""
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == REPLACING)
+    found = properties.select("value").first()
+    if not found or not found[0]:
+        return False
+    rows = spark.read.schema(spark.table(table).schema).parquet(found[0])
+    _insert(rows, table, "INSERT OVERWRITE", "static")
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{REPLACING}')")
+    return True
