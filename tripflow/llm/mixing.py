@@ -169,22 +169,23 @@ def mix_sources(
     numbered = numbered.withColumn("mix_block", F.expr(f"_row div {block}")).withColumn(
         "mix_row", (F.col("_row") % block).cast("long")
     )
-    shares = plan.select("source", "share").distinct()
-    placed = numbered.join(
-        F.broadcast(shares), numbered["mix_source"] == shares["source"]
-    ).drop(shares["source"])
-    placed = placed.withColumn("_nth", F.col("mix_block") % F.col("share"))
-    turns = plan.select(F.col("source").alias("_source"), "nth", "slot")
+    # As many rows as a period has slots, which is a parameter.
+    turns = plan.select(
+        F.col("source").alias("_source"),
+        F.col("share").alias("_share"),
+        F.col("nth").alias("_nth"),
+        F.col("slot").alias("_slot"),
+    )
+    shares = turns.select(F.col("_source").alias("mix_source"), "_share").distinct()
+    placed = numbered.join(F.broadcast(shares), "mix_source").withColumn(
+        "_turn", F.col("mix_block") % F.col("_share")
+    )
     placed = placed.join(
-        # As many rows as a period has slots, which is a parameter.
-        F.broadcast(turns),
-        (F.col("mix_source") == F.col("_source")) & (F.col("_nth") == F.col("nth")),
+        F.broadcast(turns.drop("_share")),
+        (F.col("mix_source") == F.col("_source")) & (F.col("_turn") == F.col("_nth")),
     )
-    slot = F.expr(f"(mix_block div share) * {period} + slot")
+    slot = F.expr(f"(mix_block div _share) * {period} + _slot")
+    new = ["mix_source", "mix_block", "mix_slot", "mix_row"]
     return placed.withColumn("mix_slot", slot).select(
-        *[numbered[c] for c in docs.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_row")],
-        "mix_source",
-        "mix_block",
-        "mix_slot",
-        "mix_row",
+        *[c for c in docs.columns if c not in new], *new
     )

@@ -44,7 +44,7 @@ SUPPORT = 8
 TERMS = 1000
 SHORTEST, LONGEST = 4, 8
 
-_SIGN = re.compile(r"(?<=[a-z])[@$!](?=[a-z])")
+_SIGN = re.compile(r"(?<=[a-z])!(?=[a-z])|[@$](?=[a-z])")
 _OTHER = re.compile(r"[^a-z]+")
 
 
