@@ -112,8 +112,8 @@ def test_substrings_against_brute_force(docs, none):
     assert cut.where("doc_id = 8").count() == 0 and cut.where("doc_id = 3").count() == 2
 
 
-@pytest.mark.parametrize("group", [2, 64])
-def test_bytes_against_brute_force(docs, none, group):
+@pytest.mark.parametrize("group, pairwise", [(1, 1), (2, 2), (100, 1), (100, 64)])
+def test_bytes_against_brute_force(docs, none, group, pairwise):
     data = {(i, t or "") for i, t, *_ in ROWS}
     order = sorted(data, key=lambda r: (1 << 62 if r[0] is None else r[0], _checksum(r[1])))
     seen, expected = set(), {}
@@ -126,7 +126,7 @@ def test_bytes_against_brute_force(docs, none, group):
                 keep[k : k + 100] = False
             seen.add(piece)
         expected[i, len(raw), _checksum(text)] = np.frombuffer(raw, np.uint8)[keep].tobytes()
-    found = byte_dedup(docs, group=group).collect()
+    found = byte_dedup(docs, group=group, pairwise=pairwise).collect()
     assert len(found) == len(ROWS)
     for r in found:
         assert bytes(r.kept) == expected[r.doc_id, r.n_bytes, r.tkey]

@@ -12,9 +12,10 @@ of different phrases.
    phrase occurred before, and all its strings but those of its first occurrence are repeats.
 3. What is left are the first occurrences of phrases around a trigger that has several. The order
    of their suffixes before and after the trigger (how far two phrases agree to the left, and to
-   the right) tells which strings two phrases share. Groups of up to GROUP phrases are compared in
-   place; the strings of larger ones are counted by hash over the whole cluster, so that no group
-   is gathered, whatever its size.
+   the right) tells which strings two phrases share. Groups of up to PAIRWISE phrases are
+   compared byte by byte, of up to GROUP by the hashes of their strings, both in one task; the
+   strings of still larger ones are counted over the whole cluster, so that no group is gathered
+   beyond a fixed size.
 
 Whole suffix arrays would order the corpus beyond what is asked: only equality over `length` bytes
 decides, so suffixes are compared around triggers instead of sorted globally.
@@ -35,8 +36,10 @@ from tripflow.session import durable
 
 LENGTH = 100
 TRIGGER = 16
-#: Phrases of one trigger that a task compares at once.
-GROUP = 64
+#: Phrases of one trigger that a task takes at once: some 2 MB. More are counted by the cluster.
+GROUP = 8192
+#: Phrases of one trigger that are compared byte by byte; more go by the hashes of their strings.
+PAIRWISE = 64
 
 
 class _Parse:
@@ -142,13 +145,37 @@ def _spell(length: int):
     return spell
 
 
-def _shared(length: int, trigger: int):
+def _runs(gone: np.ndarray) -> list[tuple[int, int]]:
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]).astype(np.int8))).tolist()
+    return list(zip(edges[::2], edges[1::2]))
+
+
+def _by_hash(group: list[dict], length: int) -> Iterator[tuple[int, int, int, int]]:
+    """The same as comparing the phrases of a sorted group, for many of them."""
+    data = np.frombuffer(b"".join(p["bytes"] for p in group), dtype=np.uint8)
+    windows = BYTES.windows(BYTES.prefix(BYTES.letters[data]), length)
+    counts = np.array([p["count"] for p in group])
+    starts = np.cumsum([0] + [len(p["bytes"]) for p in group])[:-1]
+    base = np.cumsum(counts) - counts
+    strings = windows[np.arange(counts.sum()) + np.repeat(starts - base, counts)]
+    # Strings stand in the order of the corpus, so the first of equal ones is the earliest.
+    gone = np.ones(len(strings), dtype=bool)
+    gone[np.unique(strings, return_index=True)[1]] = False
+    for p, first, count in zip(group, base.tolist(), counts.tolist()):
+        for a, b in _runs(gone[first : first + count]):
+            yield p["ord"], p["tkey"], p["begin"] + a, p["begin"] + b
+
+
+def _shared(length: int, trigger: int, pairwise: int):
     """Strings of each phrase of a group that an earlier phrase of the group also has."""
     left = length - trigger
 
     def repeats(group: list[dict]) -> Iterator[tuple[int, int, int, int]]:
         m = len(group)
         group.sort(key=lambda p: (p["ord"], p["tkey"], p["begin"]))
+        if m > pairwise:
+            yield from _by_hash(group, length)
+            return
         # Bytes by their distance from the trigger; nothing equals what lies outside a phrase.
         around = np.empty((m, left + length), dtype=np.int16)
         around[:] = -1 - np.arange(m)[:, None]
@@ -161,7 +188,7 @@ def _shared(length: int, trigger: int):
             to_left = np.hstack([same[:, :left][:, ::-1], stop]).argmin(axis=1)
             to_right = np.hstack([same[:, left:], stop]).argmin(axis=1)
             p = group[k]
-            gone = np.zeros(p["count"] + 1, dtype=bool)
+            gone = np.zeros(p["count"], dtype=bool)
             # A string that begins d bytes before the trigger is shared if d bytes to the left and
             # length - d to the right agree.
             low, high = np.maximum(length - to_right, 0), to_left
@@ -169,8 +196,7 @@ def _shared(length: int, trigger: int):
                 first, last = max(0, p["before"] - b), min(p["count"] - 1, p["before"] - a)
                 if a <= b and first <= last:
                     gone[first : last + 1] = True
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], gone]).astype(np.int8)))
-            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            for a, b in _runs(gone):
                 yield p["ord"], p["tkey"], p["begin"] + a, p["begin"] + b
 
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +237,11 @@ def _strings(length: int):
 
 
 def repeats(
-    docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group: int = GROUP
+    docs: DataFrame,
+    length: int = LENGTH,
+    trigger: int = TRIGGER,
+    group: int = GROUP,
+    pairwise: int = PAIRWISE,
 ) -> tuple[DataFrame, DataFrame]:
     """Ranges of first bytes of strings that also start earlier, from whole phrases and within them.
 
@@ -264,7 +294,7 @@ def repeats(
         # A set: equal rows of the table are one document.
         .agg(F.collect_set(F.struct(*KEY, "begin", "count", "before", "bytes")).alias("group"))
         .select("group")
-        .mapInArrow(_shared(length, trigger), spans)
+        .mapInArrow(_shared(length, trigger, pairwise), spans)
     )
     strings = durable(
         spelled.where(F.col("n") > group)
@@ -316,7 +346,13 @@ def _cut(length: int):
     return cut
 
 
-def byte_dedup(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, group: int = GROUP) -> DataFrame:
+def byte_dedup(
+    docs: DataFrame,
+    length: int = LENGTH,
+    trigger: int = TRIGGER,
+    group: int = GROUP,
+    pairwise: int = PAIRWISE,
+) -> DataFrame:
     """doc_id, tkey, n_bytes, kept, removed: every row of `docs` without repeated strings.
 
     A byte goes if it is covered by a string of `length` bytes that also starts earlier: in a
@@ -327,7 +363,7 @@ def byte_dedup(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, gr
     Rows of one doc_id but different texts come in the order of their texts' checksums; equal rows
     are one document. Texts below `length` bytes, empty and missing texts lose nothing.
     """
-    later, within = repeats(docs, length, trigger, group)
+    later, within = repeats(docs, length, trigger, group, pairwise)
     within = within.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("within"))
     schema = (
         "ord long, tkey int, n_bytes long, kept binary, removed array<struct<start:int,end:int>>"
