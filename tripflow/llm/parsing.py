@@ -249,7 +249,10 @@ def repeats(
     """
     prepare(docs.sparkSession)
     rows = keyed(docs)
-    parse = rows.mapInArrow(_scan(length, trigger), "ord long, tkey int, trigger long, place int")
+    # Asked for twice below; reading it back costs less than parsing all texts again.
+    parse = durable(
+        rows.mapInArrow(_scan(length, trigger), "ord long, tkey int, trigger long, place int"), "scan"
+    )
     seen = parse.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = durable(seen.select("trigger"), "triggers")
     places = parse.join(repeated, "trigger").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
