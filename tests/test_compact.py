@@ -1,5 +1,7 @@
 """Compaction: same rows, fewer files, safe to interrupt."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from tripflow.tables import compact as module
 from tripflow.tables.catalog import location
 from tripflow.tables.compact import WORK, compact, list_files, recover
 from tripflow.tables.files import Files
+from tripflow.tables.write import settings
 
 
 def insert(df, table):
@@ -35,6 +38,12 @@ def names(spark, table, day):
     return {r.path for r in found.select("path").collect()}
 
 
+def explained(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
 def same_rows(spark, table, trips):
     held = spark.table(table).select(*trips.columns)
     return (
@@ -154,12 +163,55 @@ def test_interrupted_while_clearing_up(spark, table, trips, monkeypatch, left):
     assert same_rows(spark, table, trips)
 
 
-def test_many_files_without_broadcast(spark, table, trips, monkeypatch):
-    monkeypatch.setattr(module, "BROADCAST_FILES", 10)
-    compact(spark, table)
+def test_many_files_without_broadcast(spark, table, trips):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        compact(spark, table)
     assert files_per_day(spark, table)[5] == 1 and same_rows(spark, table, trips)
 
 
+def test_scan_reads_chosen_partitions(spark, table, trips):
+    """One day of all gets small files again; the scan is cut to that day."""
+    compact(spark, table)
+    insert(trips.filter("pickup_day = 7").repartition(4), table)
+    target = module.TARGET_FILE_BYTES
+    inputs = module.durable(module.plan_rewrite(spark, table, target, 3), "inputs")
+    assert {r.pickup_day for r in inputs.collect()} == {7}
+    old = module.chosen_rows(spark, table, inputs, target)
+    read = old.agg(F.count(F.lit(1)))
+    read.collect()
+    filters = re.findall(r"PartitionFilters: \[(.*)\]", explained(read))
+    assert any("pickup_day" in f and ">= 7" in f and "<= 7" in f for f in filters)
+    assert old.count() == 2 * trips.filter("pickup_day = 7").count()
+    compact(spark, table)
+    assert files_per_day(spark, table)[7] == 1
+    assert same_rows(spark, table, trips.unionByName(trips.filter("pickup_day = 7")))
+
+
+def test_partition_without_value(spark, namespace, trips):
+    name = f"{namespace}.{TRIPS.name}"
+    days = trips.filter("pickup_day IN (5, 6)")
+    rows = days.withColumn("pickup_day", F.expr("nullif(pickup_day, 6)"))
+    insert(rows.repartition(4), name)
+    compact(spark, name)
+    assert same_rows(spark, name, rows)
+    assert list_files(spark, location(spark, name)).count() == 2
+
+
+def test_swap_leaves_one_partition_incomplete_at_most(spark, table, monkeypatch):
+    """Every partition's old files and new files move one after the other."""
+    folders = []
+    move = Files.move
+
+    def noted(self, source, target):
+        folders.append(target.split("pickup_day=")[1].split("/")[0])
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", noted)
+    compact(spark, table)
+    turns = [f for i, f in enumerate(folders) if i == 0 or folders[i - 1] != f]
+    assert len(turns) == len(set(turns)) > 1
+
+
 def test_files_arriving_meanwhile_stay(spark, table, trips, monkeypatch):
     """Files written after the plan was made are neither rewritten nor lost."""
     plan = module.plan_rewrite

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,10 +18,6 @@ TARGET_FILE_BYTES = 134217728
 MIN_INPUT_FILES = 3
 SIZE_RANGE = (0.75, 1.8)
 
-# Up to this many file names, some 100 MB, are sent to every executor; beyond it the rows are
-# joined to them by a shuffle.
-BROADCAST_FILES = 500_000
-
 WORK = "_compaction"
 
 
@@ -44,7 +41,7 @@ def _within_table(path: Column, depth: int) -> Column:
 
 
 def plan_rewrite(spark: SparkSession, table: str, target: int, min_files: int) -> DataFrame:
-    """The files to rewrite: partition, file, length, parts (new files), first_part.
+    """The files to rewrite: partition, its columns, file, length, parts (new files), first_part.
 
     Numbering the new files runs over one row per table partition.
     """
@@ -54,6 +51,7 @@ def plan_rewrite(spark: SparkSession, table: str, target: int, min_files: int) -
         F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in columns]).alias("partition"),
         _within_table(F.col("path"), len(columns)).alias("file"),
         "length",
+        *columns,
     )
     parts = F.greatest(F.round(F.sum("length") / target), F.lit(1)).cast("int")
     chosen = (
@@ -67,24 +65,29 @@ def plan_rewrite(spark: SparkSession, table: str, target: int, min_files: int) -
     return bad.join(numbered, "partition")
 
 
-def _swap(spark: SparkSession, root: str, run: str) -> None:
-    """Old files out, new files in; may be repeated after a crash at any point."""
+def _swap(spark: SparkSession, root: str, run: str, depth: int) -> None:
+    """Partition by partition, old files out and new files in.
+
+    May be repeated after a crash at any point. At any time one partition at most is incomplete.
+    """
     files = Files(spark, root)
-    old = spark.read.parquet(f"{run}/inputs").select("file").toLocalIterator(True)
-    files.move_all((f"{root}/{r['file']}", f"{run}/old/{r['file']}") for r in old)
-    new = f"{run}/new/"
-    staged = (p[p.index(new) + len(new) :] for p in _parquet(files, new))
-    files.move_all((f"{new}{name}", f"{root}/{name}") for name in staged)
+    old = spark.read.parquet(f"{run}/inputs").select("file", F.lit(False).alias("new"))
+    new = list_files(spark, f"{run}/new").select(
+        _within_table(F.col("path"), depth).alias("file"), F.lit(True).alias("new")
+    )
+    # Written out first, as the moves take files out of the folder that is listed.
+    moves = durable(
+        old.union(new).withColumn("folder", F.substring_index("file", "/", depth)), "moves"
+    )
+    rows = moves.orderBy("folder", "new").toLocalIterator(True)
+    for (_, staged), group in groupby(rows, lambda r: (r["folder"], r["new"])):
+        source, target = (f"{run}/new", root) if staged else (root, f"{run}/old")
+        files.move_all((f"{source}/{r['file']}", f"{target}/{r['file']}") for r in group)
     # The mark goes first: from here on the run is only waste.
     files.delete(f"{run}/READY")
     files.delete(run)
 
 
-def _parquet(files: Files, folder: str) -> list[str]:
-    # Listed in full first: the moves take files out of the folder being listed.
-    return [p for p in files.walk(folder) if p.endswith(".parquet")]
-
-
 def recover(spark: SparkSession, table: str) -> None:
     """Finish the swap of an interrupted run; drop what a run staged but did not check."""
     root = location(spark, table)
@@ -92,7 +95,7 @@ def recover(spark: SparkSession, table: str) -> None:
     for name in files.names(f"{root}/{WORK}"):
         run = f"{root}/{WORK}/{name}"
         if files.exists(f"{run}/READY"):
-            _swap(spark, root, run)
+            _swap(spark, root, run, len(partition_columns(spark, table)))
         else:
             files.delete(run)
     spark.catalog.refreshTable(table)
@@ -119,14 +122,10 @@ def compact(
         f"{run}/inputs"
     )
     inputs = spark.read.parquet(f"{run}/inputs")
-    names, tasks = inputs.agg(
-        F.count(F.lit(1)), F.max(F.col("first_part") + F.col("parts"))
-    ).first()
+    tasks = inputs.agg(F.max(F.col("first_part") + F.col("parts"))).first()[0]
     if tasks:
-        chosen = inputs.select("file", "parts", "first_part")
-        if names <= BROADCAST_FILES:
-            chosen = F.broadcast(chosen)
-        _stage(spark, table, columns, chosen, run, tasks, target_file_size_bytes)
+        old = chosen_rows(spark, table, inputs, target_file_size_bytes)
+        _stage(spark, table, old, run, tasks)
     report = durable(_report(spark, inputs, run, columns, bool(tasks)), "compact")
     if tasks:
         Files(spark, root).mark(f"{run}/READY")
@@ -134,27 +133,47 @@ def compact(
     return report
 
 
-def _stage(
-    spark: SparkSession,
-    table: str,
-    columns: list[str],
-    chosen: DataFrame,
-    run: str,
-    tasks: int,
-    target: int,
-) -> None:
-    """Write the rows of the chosen files, read from exactly these, to `tasks` new files."""
-    rows = spark.table(table)
-    old = (
-        rows.filter(_badly_sized(F.col("_metadata.file_size"), target))
+def _within_span(inputs: DataFrame, columns: list[str]) -> Column:
+    """True for every partition chosen: each of `columns` between its least and greatest value.
+
+    Known before the scan, so that the scan lists no partitions outside of it.
+    """
+    bounds = [f(c) for c in columns for f in (F.min, F.max)]
+    holes = [F.count_if(F.col(c).isNull()) for c in columns]
+    # One row, whatever the number of files.
+    found = inputs.agg(F.lit(0), *bounds, *holes).first()[1:]
+    within = F.lit(True)
+    for i, c in enumerate(columns):
+        low, high, null = found[2 * i], found[2 * i + 1], found[2 * len(columns) + i]
+        if not null:
+            within = within & F.col(c).between(low, high)
+    return within
+
+
+def chosen_rows(spark: SparkSession, table: str, inputs: DataFrame, target: int) -> DataFrame:
+    """The rows of the files in `inputs`, with file, position, parts and first_part.
+
+    The scan reads the badly sized files of the partitions between the first and the last one
+    chosen; the join keeps those of the files.
+    """
+    columns = partition_columns(spark, table)
+    return (
+        spark.table(table)
+        .filter(_within_span(inputs, columns))
+        .filter(_badly_sized(F.col("_metadata.file_size"), target))
         .withColumns(
             {
                 "file": _within_table(F.col("_metadata.file_path"), len(columns)),
                 "position": F.col("_metadata.row_index"),
             }
         )
-        .join(chosen, "file")
+        .join(inputs.select("file", "parts", "first_part"), "file")
     )
+
+
+def _stage(spark: SparkSession, table: str, old: DataFrame, run: str, tasks: int) -> None:
+    """Write the rows of the chosen files, read from exactly these, to `tasks` new files."""
+    rows, columns = spark.table(table), partition_columns(spark, table)
     spread = F.pmod(F.xxhash64("file", "position"), F.col("parts"))
     part = (F.col("first_part") + spread).cast("int")
     staged = old.repartitionById(tasks, part).select(*rows.columns)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import SparkSession
 
 MOVERS = 16
+#: Moves handed to the movers at once.
+BATCH = 1024
 
 
 class Files:
@@ -58,5 +61,9 @@ class Files:
             raise OSError(f"cannot move {source} to {target}")
 
     def move_all(self, moves: Iterable[tuple[str, str]]) -> int:
+        """Moves side by side, taken from `moves` a batch at a time."""
+        waiting, done = iter(moves), 0
         with ThreadPoolExecutor(MOVERS) as pool:
-            return sum(1 for _ in pool.map(lambda move: self.move(*move), moves))
+            while batch := list(islice(waiting, BATCH)):
+                done += sum(1 for _ in pool.map(lambda move: self.move(*move), batch))
+        return done
