@@ -91,6 +91,17 @@ def test_rolls(spark, events, places):
     assert largest <= 100
 
 
+def test_files_by_bytes(spark, events, places):
+    """Beyond the rows at which files roll otherwise, one file as long as it is small."""
+    records = topic_records(few(events)).withColumns(
+        {"topic": F.lit("market_data"), "timestamp": F.to_timestamp(F.lit("2024-01-01 05:07:00"))}
+    )
+    records.coalesce(1).write.parquet(places["in"])
+    held = run(spark, places, roll_rows=10, file_bytes=1 << 27)
+    rows, files = held.agg(F.count(F.lit(1)), F.countDistinct("_metadata.file_path")).first()
+    assert rows == records.count() > 10 and files == 1
+
+
 def test_hot_bucket_is_split(spark, events, places, monkeypatch):
     """All records in one hour of one topic: several tasks write them."""
     monkeypatch.setattr(sink, "PART_BYTES", 20000)

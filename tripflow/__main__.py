@@ -45,6 +45,7 @@ def _arguments() -> argparse.Namespace:
     sink.add_argument("--schema", required=True, help="DDL of the JSON values")
     sink.add_argument("--tasks", type=int, help="least number of tasks reading the broker")
     sink.add_argument("--roll-event-time", action="store_true", help="a folder per five minutes")
+    sink.add_argument("--file-bytes", type=int, help="size files by bytes in place of rows")
     sink.add_argument("--once", action="store_true", help="take what is there and stop")
     drop = commands.add_parser("purge", help="drop trip partitions before a date")
     drop.add_argument("before", type=date.fromisoformat)
@@ -104,6 +105,7 @@ def _sink(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
         roll_event_seconds=ROLL_EVENT_SECONDS if args.roll_event_time else None,
         every=None if args.once else ROLL_WALL_CLOCK,
+        file_bytes=args.file_bytes,
     )
     query.awaitTermination()
 

@@ -58,12 +58,14 @@ def time_partitioned_sink(
     roll_rows: int = ROLL_ROWS,
     roll_event_seconds: int | None = None,
     every: str | None = ROLL_WALL_CLOCK,
+    file_bytes: int | None = None,
 ) -> StreamingQuery:
     """Write `records` to topic=/year=/month=/day=/hour= folders below `path`.
 
     The rows of a bucket meet in one task, or several where a busy topic or hour exceeds the part
-    size, so a backfill over many hours does not leave a file per task and hour. `every=None`
-    takes what is there and stops. The sink's log and the checkpoint make a rerun add nothing
+    size, so a backfill over many hours does not leave a file per task and hour. `file_bytes` sizes
+    files by bytes in place of rows, which keeps their number, and the sink's log, small where
+    topics are busy. `every=None` takes what is there and stops. The sink's log and the checkpoint make a rerun add nothing
     twice.
     """
     folders = [*BUCKETS, "slot"] if roll_event_seconds else list(BUCKETS)
@@ -73,10 +75,10 @@ def time_partitioned_sink(
         .partitionBy(*folders)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", roll_rows)
+        .option("maxRecordsPerFile", 0 if file_bytes else roll_rows)
         .option("compression", "snappy")
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
     # A query keeps the session settings it was started with.
-    with settings(records.sparkSession, write_settings(PART_BYTES)):
+    with settings(records.sparkSession, write_settings(file_bytes or PART_BYTES)):
         return writer.trigger(**trigger).start()
