@@ -24,7 +24,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.llm.rows import KEY, LAST, checksum, doc_id, keyed, lists, packed, prepare, unpacked
+from tripflow.llm.rows import (
+    KEY,
+    KEY_TYPES,
+    LAST,
+    doc_id,
+    keyed,
+    lists,
+    packed,
+    prepare,
+    unpacked,
+    with_key,
+)
 from tripflow.llm.sketch import SHINGLE, Sketcher, bands, shingle_sets
 from tripflow.llm.text import Words, mix, signed, texts_of
 from tripflow.session import durable
@@ -63,8 +74,7 @@ def _scan(shingle: int, rows: int, n_bands: int, coordinates: int):
                 piece = batch.slice(first, len(sets))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord"),
-                        piece.column("tkey"),
+                        *(piece.column(k) for k in KEY),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array(signed(np.array(set1, dtype=np.uint64))),
                         pa.array(signed(np.array(set2, dtype=np.uint64))),
@@ -86,8 +96,7 @@ def _sets(shingle: int):
                 flat = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord"),
-                        piece.column("tkey"),
+                        *(piece.column(k) for k in KEY),
                         lists(np.array([len(x) for x in found]), pa.array(signed(flat))),
                     ],
                     names=[*KEY, "elements"],
@@ -103,7 +112,7 @@ def _plausible(least: float, percent: int):
         d = table.to_pandas()
         prints = np.frombuffer(b"".join(d["print"]), dtype=np.uint8).reshape(len(d), -1)
         sizes, blocks = d["n"].to_numpy(), d["block"].to_numpy()
-        labels = d["label"].map(lambda x: (x["ord"], x["tkey"])).factorize()[0]
+        labels = d["label"].map(lambda x: tuple(x[k] for k in KEY)).factorize()[0]
         left = np.flatnonzero(blocks == d["low"].iloc[0])
         right = np.flatnonzero(blocks == d["high"].iloc[0])
         pairs = []
@@ -113,12 +122,12 @@ def _plausible(least: float, percent: int):
             others = right[ok]
             agree = (prints[others] == prints[i]).mean(axis=1)
             pairs += [(i, int(j), float(s)) for j, s in zip(others, agree) if s >= least]
-        out = {"a_ord": [], "a_tkey": [], "b_ord": [], "b_tkey": [], "agree": []}
+        out = {f"{end}_{k}": [] for end in "ab" for k in KEY} | {"agree": []}
         for i, j, s in pairs:
-            a, b = sorted((x["ord"], x["tkey"]) for x in (d["v"].iloc[i], d["v"].iloc[j]))
+            a, b = sorted(tuple(x[k] for k in KEY) for x in (d["v"].iloc[i], d["v"].iloc[j]))
             for name, value in zip(out, (*a, *b, s)):
                 out[name].append(value)
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
+        kinds = [*[pa.int64(), pa.int32(), pa.int64()] * 2, pa.float64()]
         return pa.table([pa.array(x, k) for x, k in zip(out.values(), kinds)], names=list(out))
 
     return compare
@@ -193,11 +202,11 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, coordinates: int)
         .groupBy("bucket", "low", "high")
         .applyInArrow(
             _plausible(least, percent),
-            "a_ord long, a_tkey int, b_ord long, b_tkey int, agree double",
+            "a_ord long, a_tkey int, a_tsum long, b_ord long, b_tkey int, b_tsum long, agree double",
         )
         .select(
-            F.struct(F.col("a_ord").alias("ord"), F.col("a_tkey").alias("tkey")).alias("a"),
-            F.struct(F.col("b_ord").alias("ord"), F.col("b_tkey").alias("tkey")).alias("b"),
+            F.struct(*[F.col(f"a_{k}").alias(k) for k in KEY]).alias("a"),
+            F.struct(*[F.col(f"b_{k}").alias(k) for k in KEY]).alias("b"),
             "agree",
         )
         .groupBy("a", "b")
@@ -234,7 +243,7 @@ def near_duplicates(
     n_bands: int = BANDS,
     coordinates: int = COORDINATES,
 ) -> DataFrame:
-    """doc_id, tkey, n_shingles, component_id, first: one row for each row of `docs`.
+    """doc_id, tkey, tsum, n_shingles, component_id, first: one row for each row of `docs`.
 
     A document's set are its different shingles of `shingle` words (A-Z lower-cased, words are runs
     of [^\\x20\\x09-\\x0D]); a shorter text is one shingle, a text without words has none and is
@@ -248,7 +257,7 @@ def near_duplicates(
     scanned = durable(
         keys.mapInArrow(
             _scan(shingle, rows, n_bands, max(coordinates, rows * n_bands)),
-            "ord long, tkey int, n long, set1 long, set2 long, bands array<long>, print binary",
+            f"{KEY_TYPES}, n long, set1 long, set2 long, bands array<long>, print binary",
         ),
         "sketches",
     )
@@ -274,7 +283,7 @@ def near_duplicates(
         packed(keys)
         .join(wanted, KEY)
         .dropDuplicates(KEY)
-        .mapInArrow(_sets(shingle), "ord long, tkey int, elements array<long>")
+        .mapInArrow(_sets(shingle), f"{KEY_TYPES}, elements array<long>")
         .select(F.struct(*KEY).alias("v"), "elements"),
         "sets",
     )
@@ -287,6 +296,7 @@ def near_duplicates(
     return final.select(
         doc_id(),
         "tkey",
+        "tsum",
         F.col("n").alias("n_shingles"),
         F.nullif(label["ord"], F.lit(LAST)).alias("component_id"),
         (label == F.struct(*KEY)).alias("first"),
@@ -300,12 +310,14 @@ def keep_one(docs: DataFrame, **options: int) -> DataFrame:
     nothing and stay, each different doc_id and text once.
     """
     found = near_duplicates(docs, **options).where("first")
-    firsts = found.select(F.coalesce("doc_id", F.lit(LAST)).alias("_ord"), F.col("tkey").alias("_tkey"))
-    rows = docs.withColumns(
-        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_tkey": checksum()}
+    key = ["_ord", "_tkey", "_tsum"]
+    firsts = found.select(
+        F.coalesce("doc_id", F.lit(LAST)).alias("_ord"),
+        F.col("tkey").alias("_tkey"),
+        F.col("tsum").alias("_tsum"),
     )
-    kept = rows.join(firsts.distinct(), ["_ord", "_tkey"], "left_semi")
+    kept = with_key(docs).join(firsts.distinct(), key, "left_semi")
     # Rows that repeat; the join has them sorted and together.
-    repeat = Window.partitionBy("_ord", "_tkey").orderBy("_ord", "_tkey")
+    repeat = Window.partitionBy(*key).orderBy(*key)
     kept = kept.withColumn("_repeat", F.row_number().over(repeat)).where("_repeat = 1")
     return kept.select(*docs.columns)

@@ -30,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.rows import KEY, doc_id, keyed, packed, prepare, unpacked
+from tripflow.llm.rows import KEY, KEY_TYPES, doc_id, keyed, packed, prepare, unpacked
 from tripflow.llm.text import BYTES, lowest_in_window, mix, signed, texts_of
 from tripflow.session import durable
 
+#: What tells rows apart but for texts of one checksum: enough to name places to look at.
+ABOUT = ["ord", "tkey"]
 LENGTH = 100
 TRIGGER = 16
 #: Phrases of one trigger that a task takes at once: some 2 MB. More are counted by the cluster.
@@ -73,12 +75,11 @@ def _scan(length: int, trigger: int):
                 row = pa.array(parse.row + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("ord").take(row),
-                        batch.column("tkey").take(row),
+                        *(batch.column(k).take(row) for k in ABOUT),
                         pa.array(signed(parse.hashes[parse.trigger])),
                         pa.array((parse.trigger - offsets[parse.row]).astype(np.int32)),
                     ],
-                    names=[*KEY, "trigger", "place"],
+                    names=[*ABOUT, "trigger", "place"],
                 )
 
     return scan
@@ -91,9 +92,10 @@ def _phrases(length: int, trigger: int):
             for first, data, offsets in texts_of(unpacked(batch.column("packed"))):
                 parse = _Parse(data, offsets, length, trigger)
                 piece = places.slice(first, len(offsets) - 1)
-                base = np.repeat(offsets[:-1], np.asarray(piece.value_lengths()))
+                lengths = np.asarray(piece.value_lengths())
+                here = np.asarray(piece.flatten()) + np.repeat(offsets[:-1], lengths)
                 wanted = np.zeros(len(data) + 1, dtype=bool)
-                wanted[np.asarray(piece.flatten()) + base] = True
+                wanted[here[here < np.repeat(offsets[1:], lengths)]] = True
                 chosen = np.flatnonzero(wanted[parse.trigger])
                 begin, count = parse.first[chosen], parse.count[chosen]
                 before = parse.trigger[chosen] - begin
@@ -102,8 +104,7 @@ def _phrases(length: int, trigger: int):
                 row = pa.array(parse.row[chosen] + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("ord").take(row),
-                        batch.column("tkey").take(row),
+                        *(batch.column(k).take(row) for k in KEY),
                         pa.array(signed(parse.hashes[parse.trigger[chosen]])),
                         pa.array(signed(content)),
                         pa.array((begin - offsets[parse.row[chosen]]).astype(np.int32)),
@@ -134,8 +135,7 @@ def _spell(length: int):
             kinds |= {name: pa.int32() for name in ("begin", "count", "before")}
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("ord").take(which),
-                    batch.column("tkey").take(which),
+                    *(batch.column(k).take(which) for k in KEY),
                     *(pa.array([p[n] for p in entries], k) for n, k in kinds.items()),
                     pa.array(spelled, pa.binary()),
                 ],
@@ -150,7 +150,7 @@ def _runs(gone: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2], edges[1::2]))
 
 
-def _by_hash(group: list[dict], length: int) -> Iterator[tuple[int, int, int, int]]:
+def _by_hash(group: list[dict], length: int) -> Iterator[tuple[int, ...]]:
     """The same as comparing the phrases of a sorted group, for many of them."""
     data = np.frombuffer(b"".join(p["bytes"] for p in group), dtype=np.uint8)
     windows = BYTES.windows(BYTES.prefix(BYTES.letters[data]), length)
@@ -163,16 +163,16 @@ def _by_hash(group: list[dict], length: int) -> Iterator[tuple[int, int, int, in
     gone[np.unique(strings, return_index=True)[1]] = False
     for p, first, count in zip(group, base.tolist(), counts.tolist()):
         for a, b in _runs(gone[first : first + count]):
-            yield p["ord"], p["tkey"], p["begin"] + a, p["begin"] + b
+            yield *(p[k] for k in KEY), p["begin"] + a, p["begin"] + b
 
 
 def _shared(length: int, trigger: int, pairwise: int):
     """Strings of each phrase of a group that an earlier phrase of the group also has."""
     left = length - trigger
 
-    def repeats(group: list[dict]) -> Iterator[tuple[int, int, int, int]]:
+    def repeats(group: list[dict]) -> Iterator[tuple[int, ...]]:
         m = len(group)
-        group.sort(key=lambda p: (p["ord"], p["tkey"], p["begin"]))
+        group.sort(key=lambda p: tuple(p[k] for k in (*KEY, "begin")))
         if m > pairwise:
             yield from _by_hash(group, length)
             return
@@ -197,12 +197,12 @@ def _shared(length: int, trigger: int, pairwise: int):
                 if a <= b and first <= last:
                     gone[first : last + 1] = True
             for a, b in _runs(gone):
-                yield p["ord"], p["tkey"], p["begin"] + a, p["begin"] + b
+                yield *(p[k] for k in KEY), p["begin"] + a, p["begin"] + b
 
     def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [r for group in batch.column("group").to_pylist() for r in repeats(group)]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
             columns = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*KEY, "low", "high"]
@@ -224,8 +224,7 @@ def _strings(length: int):
                 begin = np.asarray(piece.column("begin"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord").take(which),
-                        piece.column("tkey").take(which),
+                        *(piece.column(k).take(which) for k in KEY),
                         piece.column("trigger").take(which),
                         pa.array(signed(windows[offsets[:-1][row] + along])),
                         pa.array((begin[row] + along).astype(np.int32)),
@@ -245,7 +244,8 @@ def repeats(
 ) -> tuple[DataFrame, DataFrame]:
     """Ranges of first bytes of strings that also start earlier, from whole phrases and within them.
 
-    First: ord, tkey, later (ranges low, high of each document). Second: ord, tkey, low, high.
+    First: ord, tkey, tsum, later (ranges low, high of each document).
+    Second: ord, tkey, tsum, low, high.
     """
     prepare(docs.sparkSession)
     rows = keyed(docs)
@@ -255,10 +255,11 @@ def repeats(
     )
     seen = parse.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = durable(seen.select("trigger"), "triggers")
-    places = parse.join(repeated, "trigger").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
+    # Texts of one checksum get each other's places too: more phrases, the same repeats.
+    places = parse.join(repeated, "trigger").groupBy(*ABOUT).agg(F.collect_set("place").alias("places"))
     fields = "trigger long, content long, begin int, count int, before int"
     phrases = durable(
-        packed(rows).join(places, KEY).mapInArrow(_phrases(length, trigger), f"ord long, tkey int, {fields}"),
+        packed(rows).join(places, ABOUT).mapInArrow(_phrases(length, trigger), f"{KEY_TYPES}, {fields}"),
         "phrases",
     )
     firsts = phrases.groupBy("trigger", "content").agg(F.min(F.struct(*KEY, "begin")).alias("first"))
@@ -286,11 +287,11 @@ def repeats(
         .join(of_doc.where(F.size("apart") > 0).select(*KEY, "apart"), KEY)
         .mapInArrow(
             _spell(length),
-            "ord long, tkey int, trigger long, n long, begin int, count int, before int, bytes binary",
+            f"{KEY_TYPES}, trigger long, n long, begin int, count int, before int, bytes binary",
         ),
         "spelled",
     )
-    spans = "ord long, tkey int, low int, high int"
+    spans = f"{KEY_TYPES}, low int, high int"
     in_place = (
         spelled.where(F.col("n") <= group)
         .groupBy("trigger")
@@ -302,7 +303,7 @@ def repeats(
     strings = durable(
         spelled.where(F.col("n") > group)
         .select(*KEY, "trigger", "begin", "bytes")
-        .mapInArrow(_strings(length), "ord long, tkey int, trigger long, string long, low int"),
+        .mapInArrow(_strings(length), f"{KEY_TYPES}, trigger long, string long, low int"),
         "strings",
     )
     earliest = durable(
@@ -337,8 +338,7 @@ def _cut(length: int):
             ends = pa.struct([("start", pa.int32()), ("end", pa.int32())])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("ord"),
-                    batch.column("tkey"),
+                    *(batch.column(k) for k in KEY),
                     pa.array(sizes, pa.int64()),
                     pa.array(kept, pa.binary()),
                     pa.array(spans, pa.list_(ends)),
@@ -356,7 +356,7 @@ def byte_dedup(
     group: int = GROUP,
     pairwise: int = PAIRWISE,
 ) -> DataFrame:
-    """doc_id, tkey, n_bytes, kept, removed: every row of `docs` without repeated strings.
+    """doc_id, tkey, tsum, n_bytes, kept, removed: every row of `docs` without repeated strings.
 
     A byte goes if it is covered by a string of `length` bytes that also starts earlier: in a
     document with a smaller doc_id, or in the same one at a smaller offset, where both may overlap.
@@ -369,7 +369,7 @@ def byte_dedup(
     later, within = repeats(docs, length, trigger, group, pairwise)
     within = within.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("within"))
     schema = (
-        "ord long, tkey int, n_bytes long, kept binary, removed array<struct<start:int,end:int>>"
+        f"{KEY_TYPES}, n_bytes long, kept binary, removed array<struct<start:int,end:int>>"
     )
     none = F.array().cast("array<struct<low:int,high:int>>")
     found = packed(keyed(docs)).join(later, KEY, "left").join(within, KEY, "left")
@@ -377,4 +377,4 @@ def byte_dedup(
         "spans", F.concat(F.coalesce("later", none), F.coalesce("within", none))
     )
     cut = found.select(*KEY, "packed", "spans").mapInArrow(_cut(length), schema)
-    return cut.select(doc_id(), "tkey", "n_bytes", "kept", "removed")
+    return cut.select(doc_id(), "tkey", "tsum", "n_bytes", "kept", "removed")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.rows import KEY, LAST, checksum, doc_id, keyed, prepare
+from tripflow.llm.rows import KEY, doc_id, keyed, prepare, with_key
 from tripflow.session import durable
 
 WINDOW = 8
@@ -87,7 +87,7 @@ def _covered(windows: Column, width: int) -> Column:
 
 
 def measured(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """ord, tkey and doc_id of `docs`' rows with what the rules measure.
+    """ord, tkey, tsum and doc_id of `docs`' rows with what the rules measure.
 
     n_words, word_chars (code points in words), n_symbols (of `#*$%&|<>`), n_lines and n_dup_lines
     (lines with a word; those equal to an earlier one), n_repeat_words (words in windows of `width`
@@ -128,12 +128,11 @@ def measured(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, measurements and `failures`, the bits of the rules that the row fails.
+    """doc_id, tkey, tsum, measurements and `failures`, the bits of the rules that the row fails.
 
     The ledger is written to the shared folder and read back: policies and ablations over it do
     not evaluate a rule again (left in one plan, Spark would push a policy's filter below the
-    measurements and evaluate them twice). `tkey` is the checksum of the text, which tells rows of
-    one doc_id apart.
+    measurements and evaluate them twice). `tkey` and `tsum` tell rows of one doc_id apart.
 
     Empty and missing texts have no words and fail `few_words`; a row without doc_id is kept as it
     is; rows that repeat get equal entries.
@@ -154,12 +153,9 @@ def judged(docs: DataFrame, policy: str = POLICY) -> DataFrame:
     joined, so that rows are neither lost nor repeated.
     """
     failed = ledger(docs).where(~passes(policy)).select(*KEY).distinct()
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    rows = docs.withColumns({"_ord": ids, "_tkey": checksum()})
-    kept = rows.join(
-        failed, (rows["_ord"] == failed["ord"]) & (rows["_tkey"] == failed["tkey"]), "left_anti"
-    )
-    return kept.drop("_ord", "_tkey")
+    key = [f"_{k}" for k in KEY]
+    kept = with_key(docs).join(failed.toDF(*key), key, "left_anti")
+    return kept.select(*docs.columns)
 
 
 def passes(policy: str = POLICY) -> Column:

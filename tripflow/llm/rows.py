@@ -4,7 +4,8 @@ Every operator keeps to these rules unless its docstring says otherwise:
 
 * A missing text counts as an empty one; a missing `doc_id` counts as larger than any other.
 * Rows that repeat, also with one `doc_id` and different texts, are rows of their own: they are
-  told apart by `doc_id` and the checksum of the text, and equal rows get equal results.
+  told apart by `doc_id` and the text, and equal rows get equal results. Joins tell texts apart by
+  96 bits, of two unrelated functions: `tkey`, the checksum, which also orders them, and `tsum`.
 * Columns that the operator does not ask for are ignored, whatever their names; results have only
   the columns that the docstring lists.
 * An empty table gives an empty result with the same columns.
@@ -24,7 +25,8 @@ from tripflow.session import configure
 
 #: Place of a missing doc_id in the order of documents.
 LAST = (1 << 63) - 1
-KEY = ["ord", "tkey"]
+KEY = ["ord", "tkey", "tsum"]
+KEY_TYPES = "ord long, tkey int, tsum long"
 #: Rows of one Arrow batch: with texts of a few MB it still fits a Python worker.
 BATCH_ROWS = 256
 
@@ -48,33 +50,45 @@ def checksum(name: str = "text") -> Column:
     return (F.crc32(text_of(name)) - (1 << 31)).cast("int")
 
 
+def text_sum(name: str = "text") -> Column:
+    """Tells apart texts whose checksums are equal: many rows may share a doc_id or have none."""
+    return F.xxhash64(text_of(name))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """ord, tkey, text: what tells rows apart, and the text."""
+    """ord, tkey, tsum, text: what tells rows apart, and the text."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
         checksum().alias("tkey"),
+        text_sum().alias("tsum"),
         text_of().alias("text"),
     )
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """`docs` with _ord, _tkey, _tsum: what tells rows apart, beside columns of any name."""
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    return docs.withColumns({"_ord": ids, "_tkey": checksum(), "_tsum": text_sum()})
+
+
 def doc_id() -> Column:
     """`ord` as an id again."""
     return F.when(F.col("ord") != LAST, F.col("ord")).alias("doc_id")
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """ord, tkey, packed: texts compressed, for a shuffle that has to carry them."""
+    """ord, tkey, tsum, packed: texts compressed, for a shuffle that has to carry them."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [squeeze.compress(x.encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("ord"), batch.column("tkey"), pa.array(texts, pa.binary())],
+                [*(batch.column(k) for k in KEY), pa.array(texts, pa.binary())],
                 names=[*KEY, "packed"],
             )
 
-    return rows.select(*KEY, "text").mapInArrow(pack, "ord long, tkey int, packed binary")
+    return rows.select(*KEY, "text").mapInArrow(pack, f"{KEY_TYPES}, packed binary")
 
 
 def unpacked(column: pa.Array) -> pa.Array:

@@ -32,7 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.rows import KEY, LAST, checksum, doc_id, keyed, lists, packed, prepare, unpacked
+from tripflow.llm.rows import (
+    KEY,
+    KEY_TYPES,
+    LAST,
+    doc_id,
+    keyed,
+    lists,
+    packed,
+    prepare,
+    unpacked,
+    with_key,
+)
 from tripflow.llm.text import WORDS, WORDS2, Words, lowest_in_window, signed, texts_of
 from tripflow.session import durable
 
@@ -69,8 +80,7 @@ def _scan(span: int, anchor: int):
                 piece = batch.slice(first, len(offsets) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord"),
-                        piece.column("tkey"),
+                        *(piece.column(k) for k in KEY),
                         pa.array(np.diff(rows)),
                         pa.array(signed(WORDS.ranges(prefix, rows[:-1], rows[1:]))),
                         pa.array(signed(WORDS2.ranges(prefix2, rows[:-1], rows[1:]))),
@@ -101,8 +111,7 @@ def _edges(span: int, anchor: int):
                 piece = batch.slice(first, len(offsets) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord"),
-                        piece.column("tkey"),
+                        *(piece.column(k) for k in KEY),
                         lists(counts, pa.array(signed(hashes))),
                         lists(counts, pa.array(starts.astype(np.int32))),
                     ],
@@ -115,15 +124,15 @@ def _edges(span: int, anchor: int):
 def paths(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
     """The compacted repeated paths' occurrences, and the documents equal to an earlier one.
 
-    First: ord, tkey, start, n_edges, path, source (ord and start of the path's first occurrence).
-    Second: ord, tkey, n_words, source (ord of the first document of the same words).
+    First: ord, tkey, tsum, start, n_edges, path, source (ord and start of the path's first occurrence).
+    Second: ord, tkey, tsum, n_words, source (ord of the first document of the same words).
     """
     prepare(docs.sparkSession)
     rows = keyed(docs)
     scanned = durable(
         rows.mapInArrow(
             _scan(span, anchor),
-            "ord long, tkey int, n_words long, whole1 long, whole2 long, "
+            f"{KEY_TYPES}, n_words long, whole1 long, whole2 long, "
             "anchors array<long>, starts array<int>",
         ),
         "anchors",
@@ -148,7 +157,7 @@ def paths(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> tuple[Data
     edges = durable(
         packed(rows)
         .join(places, KEY)
-        .mapInArrow(_edges(span, anchor), "ord long, tkey int, edges array<long>, starts array<int>"),
+        .mapInArrow(_edges(span, anchor), f"{KEY_TYPES}, edges array<long>, starts array<int>"),
         "edges",
     )
     # 0 stands for no neighbour.
@@ -234,8 +243,7 @@ def _cut(span: int):
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("ord"),
-                        piece.column("tkey"),
+                        *(piece.column(k) for k in KEY),
                         pa.array(out["n_words"], pa.int64()),
                         pa.array(out["kept"], pa.string()),
                         pa.array(out["gone"], pa.list_(ends)),
@@ -252,19 +260,19 @@ def _apply(rows: DataFrame, spans: DataFrame, span: int, name: str) -> DataFrame
         F.collect_list(F.struct("start", "n_edges", "path", "removed")).alias("spans")
     )
     schema = (
-        "ord long, tkey int, n_words long, kept_text string, removed array<struct<start:int,end:int>>, "
+        f"{KEY_TYPES}, n_words long, kept_text string, removed array<struct<start:int,end:int>>, "
         "digests array<struct<path:long,n_edges:long,source:boolean,digest:binary>>"
     )
     return durable(packed(rows).join(of_doc, KEY, "left").mapInArrow(_cut(span), schema), name)
 
 
 def substring_dedup(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> DataFrame:
-    """doc_id, tkey, n_words, kept_text, removed: every row of `docs` without repeated passages.
+    """doc_id, tkey, tsum, n_words, kept_text, removed: every row of `docs` without repeated passages.
 
     A word goes if one of the windows of `span` words over it also starts in a document with a
     smaller doc_id; windows are judged on the input. Words are runs of [^\\x20\\x09-\\x0D];
     `kept_text` has the kept ones joined by one space, `removed` the maximal runs of removed words
-    as half-open ranges of word numbers, `tkey` the checksum of the row's text.
+    as half-open ranges of word numbers, `tkey` and `tsum` tell texts apart.
 
     Rows with an equal doc_id do not remove each other's words. Texts below `span` words, empty and
     missing texts lose nothing. Rules for missing values and repeated rows: `tripflow.llm.rows`.
@@ -310,7 +318,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) ->
             .distinct()
         )
         cut = _apply(rows, spans.join(wrong, [*KEY, "path", "n_edges"], "left_anti"), span, "cut")
-    return cut.select(doc_id(), "tkey", "n_words", "kept_text", "removed")
+    return cut.select(doc_id(), "tkey", "tsum", "n_words", "kept_text", "removed")
 
 
 def cut_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> DataFrame:
@@ -323,14 +331,13 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> Data
     changed = done.select(
         F.coalesce("doc_id", F.lit(LAST)).alias("_ord"),
         F.col("tkey").alias("_tkey"),
+        F.col("tsum").alias("_tsum"),
         F.col("kept_text").alias("_kept"),
-    ).dropDuplicates(["_ord", "_tkey"])
-    rows = docs.withColumns(
-        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_tkey": checksum()}
-    )
+    ).dropDuplicates(["_ord", "_tkey", "_tsum"])
     new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in docs.columns:
         length = F.length("_kept").cast(docs.schema["n_chars"].dataType)
         new["n_chars"] = F.coalesce(length, "n_chars")
-    met = rows.join(changed, ["_ord", "_tkey"], "left").where("_kept IS NULL OR _kept != ''")
+    met = with_key(docs).join(changed, ["_ord", "_tkey", "_tsum"], "left")
+    met = met.where("_kept IS NULL OR _kept != ''")
     return met.withColumns(new).select(*docs.columns)
