@@ -11,7 +11,7 @@ leaks an item of m words if some passage of it is fewer than m / 5 word edits aw
    so edit distance becomes Hamming distance of what was written. A repetition of bit sampling
    compares K steps of one walk; a window and an item that agree in all K steps of any repetition
    are candidates. The repetitions needed for the target recall come from walks over simulated
-   leaks with d edits.
+   leaks with d edits. Where d is 0, every window is a candidate.
 3. Candidates are verified by the exact edit distance of the item to the best passage around the
    window.
 
@@ -175,8 +175,9 @@ class Items:
 
     def _candidates(self, tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
         placed = self._placed(tokens, rows)
-        chosen = np.zeros(len(placed), dtype=bool)
         sizes = self.sizes[placed[:, 1]]
+        # Walks may have left items this short; without edits there is nothing to choose by.
+        chosen = sizes <= WORDS_PER_EDIT
         # Windows of similar length walk together.
         for group in np.unique(np.ceil(np.log2(np.maximum(sizes, 2))).astype(int)):
             members = np.flatnonzero(np.ceil(np.log2(np.maximum(sizes, 2))).astype(int) == group)
@@ -184,6 +185,8 @@ class Items:
             low, high = rows[some[:, 0]], rows[some[:, 0] + 1]
             base = self.bases[some[:, 1]]
             steps = _steps(int(m.max()))
+            if chosen[members].all():
+                continue
             for walk in range(WALKS):
                 text = _walk(tokens, some[:, 2], m, low, high, walk, steps)
                 item = _walk(self.flat, base, m, base, base + m, walk, steps)
@@ -195,7 +198,6 @@ class Items:
                     sampled = rng.integers(0, _steps(int(size)), shape)
                     met = agree[same][:, sampled].all(axis=2).any(axis=1)
                     chosen[members[same]] |= met
-        # A window without edits agrees with itself, whatever was sampled.
         return placed[chosen]
 
     def leaks(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
