@@ -1,0 +1,156 @@
+"""Spelling variants against a search by deletions, and on odd rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from tripflow.llm import queries, variants
+from tripflow.llm.variants import counted, one_edit, runs, spelling_variants
+
+UPPER = {x: x + 32 for x in range(65, 91)}
+
+
+def near_by_deletions(words):
+    """Words that share a deletion, or differ in one place."""
+    shared = defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            shared["d", w[:k] + w[k + 1 :]].add(w)
+            shared["r", k, w[:k] + w[k + 1 :]].add(w)
+    near = {}
+    for w in words:
+        found = set(shared.get(("d", w), ()))
+        for k in range(len(w)):
+            shorter = w[:k] + w[k + 1 :]
+            found |= shared["r", k, shorter] | ({shorter} & words.keys())
+        near[w] = found - {w}
+    return near
+
+
+def plain(counts):
+    near, form = near_by_deletions(counts), {}
+    for w, around in near.items():
+        best = min(around, key=lambda x: (-counts[x], x), default=None)
+        if best and counts[best] >= 5 * counts[w]:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, len(near[w]), counts.get(form.get(w))) for w, n in counts.items()}
+
+
+def found(spark, counts):
+    rows = spark.createDataFrame(list(counts.items()), "word string, n long")
+    return set(map(tuple, spelling_variants(rows).collect()))
+
+
+def test_query_equals_plain_search(spark):
+    folder = str(TESTDATA / "sf0.01")
+    counts = Counter()
+    for row in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        for run in re.findall("[A-Za-zÀ-ÿ]+", row["text"] or ""):
+            run = run.translate(UPPER)
+            h = zlib.crc32(f"{row['doc_id']}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    result = queries.op13_spelling_variants(spark, folder)
+    assert result.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    expected = plain(counts)
+    assert set(map(tuple, result.collect())) == expected
+    assert any(row[1] for row in expected)
+
+
+def test_blocks_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(variants, "BLOCK_WORDS", 3)
+    monkeypatch.setattr(variants, "SLICE_WORDS", 5)
+    counts = {"".join(x): 5 * (i % 90 + 1) for i, x in enumerate(set(permuted()))}
+    assert found(spark, counts) == plain(counts)
+
+
+def permuted():
+    words = ["planet", "plàneta", "palnet", "plant", "planets", "÷×÷×÷×", "÷×÷×÷"]
+    for w in list(words):
+        for k in range(len(w)):
+            words.append(w[:k] + "e" + w[k:])
+            words.append(w[:k] + "a" + w[k + 1 :])
+            words.append(w[:k] + w[k + 1 :])
+    return words
+
+
+def test_chains_of_forms(spark):
+    # Each word is five times as frequent as the next, over more links than one doubling reaches.
+    counts = {"abcdef" + "g" * k: 5 ** (12 - k) for k in range(12)}
+    got = {row[0]: row for row in found(spark, counts)}
+    assert all(row[2] == "abcdef" for row in got.values())
+    assert found(spark, counts) == plain(counts)
+
+
+def test_ties_go_to_the_first_in_code_point_order(spark):
+    counts = {"abcdef": 5, "abcdeg": 25, "abcdeÿ": 25, "zbcdef": 25, "abcde": 24}
+    assert found(spark, counts) == plain(counts)
+
+
+def test_very_long_words(spark):
+    word = "ab" * 50_000
+    counts = {word: 50, word[:7000] + "c" + word[7000:]: 5, word[:9000] + "é" + word[9001:]: 9, word[::-1]: 5}
+    assert found(spark, counts) == plain_long(counts)
+
+
+def plain_long(counts):
+    long = max(counts, key=counts.get)
+    near = {w: {x for x in counts if x != w and len(w) == len(x) and sum(map(str.__ne__, w, x)) == 1
+                or abs(len(w) - len(x)) == 1 and inserted(w, x)} for w in counts}
+    return {
+        (w, *((long, long) if w != long and long in near[w] and counts[long] >= 5 * n else (None, w)),
+         n, len(near[w]), counts[long] if w != long and long in near[w] and counts[long] >= 5 * n else None)
+        for w, n in counts.items()
+    }
+
+
+def inserted(a, b):
+    a, b = sorted((a, b), key=len)
+    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[k:] == b[k + 1 :]
+
+
+def test_runs_and_counts_of_odd_rows(spark):
+    rows = [(1, "Äpfel ÄPFEL äpfelX"), (None, "wordsé wordsé"), (2, None), (3, ""), (3, ""), (4, "12 _ ŐŐ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("run", F.lit("x"))
+    got = sorted(r["run"] for r in runs(docs).collect())
+    assert got == sorted(["Äpfel", "Äpfel", "äpfelx", "wordsé", "wordsé"])
+    words = runs(docs).select(F.col("run").alias("word"))
+    assert [tuple(r) for r in counted(words, 6, 2).collect()] == [("wordsé", 2)]
+
+
+def test_no_words(spark):
+    assert spelling_variants(spark.createDataFrame([], "word string, n long")).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab", max_size=7), st.text("ab", max_size=7))
+def test_one_edit(a, b):
+    def distance(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, line[0] = line[0], i
+            for j, y in enumerate(b, 1):
+                before, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, before + (x != y))
+        return line[-1]
+
+    assert one_edit(a, b) == (distance(a, b) == 1)
+
+
+def test_damage_of_the_query(spark):
+    row = spark.range(1).select(variants.without_letter(F.lit("añbc"), F.lit(1)).alias("w")).first()
+    assert row["w"] == "abc"

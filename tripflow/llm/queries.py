@@ -10,12 +10,15 @@ from tripflow.llm.labelled import held_out
 from tripflow.llm.mixing import PERIOD, mix_sources
 from tripflow.llm.mixing import BLOCK as MIX_BLOCK
 from tripflow.llm.near_dup import near_duplicates
+from tripflow.llm.negatives import hard_negatives
+from tripflow.llm.packing import pack_documents
 from tripflow.llm.parsing import byte_dedup
 from tripflow.llm.quality import WINDOW, ledger, mask, passes
 from tripflow.llm.rows import documents, prepare
 from tripflow.llm.substring import substring_dedup
 from tripflow.llm.tokencount import token_counts
 from tripflow.llm.urls import judge
+from tripflow.llm.variants import counted, runs, spelling_variants, without_letter
 
 
 def op1_benchmark_decontamination(spark, sf_dir):
@@ -120,6 +123,36 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", kept)
 
 
+# One vector in seven gets the next label; the anchors are the vectors of round numbers.
+MISLABELLED, ANCHORS, LABELS = 7, 100, 10
+
+
+def op11_hard_negatives(spark, sf_dir):
+    rows = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    turned = F.when(F.col("vec_id") % MISLABELLED == 0, (label + 1) % LABELS).otherwise(label)
+    return hard_negatives(rows.withColumn("label", turned), F.col("vec_id") % ANCHORS == 0)
+
+
+def op12_retrieval_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir)).drop("tkey", "tsum")
+
+
+#: One run of letters in so many loses a letter, so that there are variants to find.
+DAMAGED = 199
+
+
+def op13_spelling_variants(spark, sf_dir):
+    found = runs(documents(spark, sf_dir)).where(F.char_length("run") >= 6)
+    # A row without doc_id hashes as if its id were empty.
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    hashed = F.crc32(name.cast("binary"))
+    place = (hashed % F.char_length("run")).cast("int")
+    damaged = without_letter(F.col("run"), place)
+    word = F.when(hashed % DAMAGED == 0, damaged).otherwise(F.col("run"))
+    return spelling_variants(counted(found.select(word.alias("word"))))
+
+
 OPERATORS = (
     op1_benchmark_decontamination,
     op2_substring_dedup,
@@ -131,6 +164,9 @@ OPERATORS = (
     op8_token_counts,
     op9_quality_classifier,
     op10_minhash_near_dedup,
+    op11_hard_negatives,
+    op12_retrieval_packing,
+    op13_spelling_variants,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 
@@ -189,6 +225,26 @@ SQL: dict[str, str] = {
                     OR 100 * n_dup_lines > 50 * n_lines OR 100 * shouts > 30 * n_words
                     OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
         FROM b""",
+    "op11_hard_negatives": f"""
+        WITH e AS (
+          SELECT vec_id, CAST(CASE WHEN vec_id % {MISLABELLED} = 0 THEN (label + 1) % {LABELS}
+                              ELSE label END AS BIGINT) AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+                     CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+              FROM e a JOIN e b ON a.vec_id % {ANCHORS} = 0 AND a.vec_id != b.vec_id),
+        p AS (SELECT a, b, score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+        SELECT p.a AS anchor_id, p.b AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER)
+                 AS rank,
+               s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.a = p.a AND NOT s.same
+          AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+        QUALIFY rank <= 5""",
     "op6_pfair_mixing": f"""
         WITH RECURSIVE
         d AS (SELECT doc_id, source, coalesce(source, '') AS s, coalesce(text, '') AS t,
