@@ -19,17 +19,20 @@ from tripflow.functions.identity import content_id, source_row_id, with_file_ids
 from tripflow.operators.anomaly import detect, hour_stats, score
 from tripflow.operators.clean import clean
 from tripflow.operators.hourly import HOUR_KEYS, hour_stats_from, hourly
+from tripflow.operators.hourly_state import merged_states
 from tripflow.operators.quantile import exact_quantile
 from tripflow.operators.rules import RULES, detect_rules
 from tripflow.plans import jobs
+from tripflow.schemas import HOURLY
 from tripflow.session import configure, scratch
 from tripflow.sources.events import raw_trips, topic_records
-from tripflow.sources.raw import read_raw
+from tripflow.sources.raw import read_raw, stream_raw
 from tripflow.sources.topics import file_topics, parse_values
 from tripflow.streaming.detect import detect_stream, freeze_stats
 from tripflow.streaming.intake import ingest_new_files
+from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import INGESTION_TIME, time_partitioned_sink
-from tripflow.tables.catalog import create_tables, describe, list_tables
+from tripflow.tables.catalog import create_tables, describe, list_tables, read_table
 from tripflow.tables.compact import compact
 from tripflow.tables.files import Files
 from tripflow.tables.purge import purge
@@ -442,6 +445,47 @@ def stream_anomalies(spark, sf_dir):
     return anomaly_rows(spark.table(f"{namespace}.anomaly_events"))
 
 
+def _deliveries(spark, sf_dir):
+    """The raw trips in three parts, with the number of each."""
+    raw = raw_trips(events(spark, sf_dir))
+    return [(n, raw.where(F.col("event_id") % 3 == n)) for n in range(3)]
+
+
+def stream_live_anomalies(spark, sf_dir):
+    """Three deliveries, each scored against those before it."""
+    namespace, folder, log = fresh_tables(spark), scratch(spark, "live"), scratch(spark, "live-log")
+    for _, delivery in _deliveries(spark, sf_dir):
+        delivery.write.mode("append").parquet(folder)
+        stream = clean(stream_raw(spark, folder, delivery.schema), F.col("event_id"))
+        detect_live(stream, log, namespace).awaitTermination()
+    return anomaly_rows(spark.table(f"{namespace}.anomaly_events"))
+
+
+def hourly_by_delivery(spark, sf_dir):
+    """The hourly table after three deliveries, the last of them made twice.
+
+    Sums come from the states behind it: an average on an exact half depends on the order of
+    summation, so the table's are only held against these, to half a cent.
+    """
+    namespace = fresh_tables(spark)
+    parts = _deliveries(spark, sf_dir)
+    for number, delivery in [*parts, parts[-1]]:
+        jobs.deliver(spark, delivery, number + 1, namespace, F.col("event_id"))
+    states = merged_states(jobs.hour_states(spark, namespace).read())
+    sums = ("distance_sum", "fare_sum", "tip_sum", "revenue")
+    held = read_table(spark, HOURLY, namespace).join(states.select(*HOUR_KEYS, *sums), list(HOUR_KEYS))
+    trips = F.col("total_trips")
+    pairs = (
+        ("avg_trip_distance", F.col("distance_sum") / trips),
+        ("avg_fare_amount", F.col("fare_sum") / trips),
+        ("avg_tip_amount", F.col("tip_sum") / trips),
+        ("total_revenue", F.col("revenue")),
+    )
+    close = reduce(lambda a, b: a & b, [F.abs(F.col(n) - exact) < 0.005001 for n, exact in pairs])
+    columns = [*HOUR_KEYS, "total_trips", "total_passengers", "p95_fare", *sums]
+    return plain(rounded(held.select(*columns, close.alias("rounded")), *sums))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Hourly aggregates of the cleaned trips."""
     return hourly(trips(spark, SMOKE_DIR))
@@ -485,6 +529,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingestion_time_present": ingestion_time_present,
         "stream_incremental": stream_incremental,
         "stream_anomalies": stream_anomalies,
+        "stream_live_anomalies": stream_live_anomalies,
+        "hourly_by_delivery": hourly_by_delivery,
         **LLM_QUERIES,
     }
 
@@ -740,5 +786,26 @@ def oracle_sql() -> dict[str, str]:
         "ingestion_time_present": "SELECT count(*) AS stamped FROM events",
         "stream_incremental": PER_DAY,
         "stream_anomalies": SURGE,
+        "stream_live_anomalies": " UNION ALL ".join(
+            f"""SELECT * FROM (WITH {TRIPS},
+                now AS (SELECT * FROM trips WHERE trip_id % 3 = {n}),
+                before AS (SELECT pickup_hour, avg(fare_amount) AS mean,
+                                  stddev_samp(fare_amount) AS deviation
+                           FROM trips WHERE trip_id % 3 < {n} GROUP BY pickup_hour),
+                scored AS (SELECT t.*, mean, fare_amount AS measure,
+                                  (fare_amount - mean) / nullif(deviation, 0) AS z
+                           FROM now t JOIN before USING (pickup_hour))
+                {_events('abs(z) > 3', FARE_TYPE)})"""
+            for n in (1, 2)
+        ),
+        "hourly_by_delivery": f"""
+            WITH {TRIPS}
+            SELECT pickup_year, pickup_month, pickup_day, pickup_hour, count(*) AS total_trips,
+                   CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
+                   round(quantile_disc(fare_amount, 0.95), 2) AS p95_fare,
+                   round(sum(trip_distance), 6) AS distance_sum,
+                   round(sum(fare_amount), 6) AS fare_sum, round(sum(tip_amount), 6) AS tip_sum,
+                   round(sum(total_amount), 6) AS revenue, true AS rounded
+            FROM trips GROUP BY ALL""",
         **LLM_SQL,
     }

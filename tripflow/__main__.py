@@ -7,14 +7,18 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.functions.identity import source_row_id
+from tripflow.operators.clean import clean
 from tripflow.operators.rules import RULES
 from tripflow.plans import jobs
 from tripflow.schemas import TRIPS
 from tripflow.session import build_session
+from tripflow.sources.raw import stream_raw
 from tripflow.sources.topics import file_topics, kafka_topics, parse_values
 from tripflow.streaming.intake import ingest_new_files
+from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import ROLL_EVENT_SECONDS, ROLL_WALL_CLOCK, time_partitioned_sink
-from tripflow.tables.catalog import NAMESPACE, create_tables
+from tripflow.tables.catalog import NAMESPACE, create_tables, read_table
 from tripflow.tables.purge import purge
 
 
@@ -32,6 +36,13 @@ def _arguments() -> argparse.Namespace:
     intake = commands.add_parser("intake", help="clean only files not taken before")
     intake.add_argument("raw")
     intake.add_argument("checkpoint")
+    deliver = commands.add_parser("deliver", help="add numbered raw files to trips and hours, once")
+    deliver.add_argument("raw")
+    deliver.add_argument("number", type=int, help="from 1; the same number again adds nothing")
+    detect = commands.add_parser("detect", help="score new raw files against all files before them")
+    detect.add_argument("raw")
+    detect.add_argument("checkpoint")
+    detect.add_argument("--history", action="store_true", help="start from the trips table")
     aggregate = commands.add_parser("aggregate", help="hourly table, anomalies, compaction")
     aggregate.add_argument("--p95", choices=["approx", "exact"], default="approx")
     aggregate.add_argument("--mode", choices=jobs.MODES, default="append")
@@ -66,6 +77,13 @@ def main() -> None:
     elif args.job == "intake":
         ingest_new_files(spark, args.raw, args.checkpoint, args.namespace).awaitTermination()
         jobs.report(spark, args.namespace).show()
+    elif args.job == "deliver":
+        jobs.deliver(spark, args.raw, args.number, args.namespace).show()
+    elif args.job == "detect":
+        past = read_table(spark, TRIPS, args.namespace) if args.history else None
+        trips = clean(stream_raw(spark, args.raw), trip_id=source_row_id())
+        detect_live(trips, args.checkpoint, args.namespace, history=past).awaitTermination()
+        jobs.report(spark, args.namespace).show()
     elif args.job == "aggregate":
         counts = jobs.aggregate(
             spark, args.namespace, args.p95, mode=args.mode, rules=args.rules

@@ -12,13 +12,15 @@ from tripflow.functions.identity import FILE_SHIFT, source_row_id, with_file_ids
 from tripflow.functions.scores import LOW_FARE, SURGE_FARE
 from tripflow.operators.anomaly import detect
 from tripflow.operators.clean import clean
-from tripflow.operators.hourly import hour_stats_from, hourly
+from tripflow.operators.hourly import HOUR_KEYS, hour_stats_from, hourly
+from tripflow.operators.hourly_state import HourStates, hourly_from
 from tripflow.operators.rules import detect_rules
 from tripflow.schemas import ANOMALIES, HOURLY, TRIPS
+from tripflow.session import durable
 from tripflow.sources.raw import read_raw
-from tripflow.tables.catalog import NAMESPACE, read_table
+from tripflow.tables.catalog import NAMESPACE, read_table, versions_root
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES, compact
-from tripflow.tables.write import append, overwrite_partitions, replace
+from tripflow.tables.write import append, append_once, overwrite_partitions, replace
 
 MODES = ("append", "overwrite_partitions")
 #: How trips are numbered: per task, by file and place (unique over all runs of ingest), or by a
@@ -97,6 +99,52 @@ def aggregate(
     return report(spark, namespace)
 
 
+def hour_states(spark: SparkSession, namespace: str = NAMESPACE) -> HourStates:
+    """The states behind the hourly table, beside its versions."""
+    root = versions_root(spark, f"{namespace}.{HOURLY.name}")
+    if root is None:
+        raise ValueError("the hourly table was made without versions; create it anew")
+    return HourStates(spark, f"{root.rsplit('/', 1)[0]}/_states")
+
+
+def update_hourly(
+    spark: SparkSession, trips: DataFrame, number: int, namespace: str = NAMESPACE
+) -> None:
+    """Add delivery `number` of cleaned trips to the hourly table.
+
+    Reads the delivery and the states of its months; earlier trips are not read. The same number
+    again replaces the earlier try. The table itself, a row for each hour there ever was, is written
+    anew and put in place at once.
+    """
+    table, keys = f"{namespace}.{HOURLY.name}", list(HOUR_KEYS)
+    states = hour_states(spark, namespace)
+    changed = durable(states.add(trips, number), "hours")
+    others = read_table(spark, HOURLY, namespace).join(changed.select(*keys), keys, "left_anti")
+    replace(others.unionByName(hourly_from(changed)), table)
+    states.fold()
+
+
+def deliver(
+    spark: SparkSession,
+    raw: str | DataFrame,
+    number: int,
+    namespace: str = NAMESPACE,
+    trip_id: Column | None = None,
+    nan: str = "keep",
+) -> DataFrame:
+    """Add delivery `number` of raw trips (a path or a DataFrame) to trips and hours, once.
+
+    Trips need ids that are the same on a retry: `trip_id`, or file and place.
+    """
+    rows = read_raw(spark, raw) if isinstance(raw, str) else raw
+    trips = clean(rows, source_row_id() if trip_id is None else trip_id, nan)
+    table = f"{namespace}.{TRIPS.name}"
+    # An earlier try may have left trips.
+    append_once(trips, table, "trip_id")
+    update_hourly(spark, trips, number, namespace)
+    return report(spark, namespace)
+
+
 def maintain(
     spark: SparkSession,
     namespace: str = NAMESPACE,

@@ -103,12 +103,17 @@ ANOMALY_COLUMNS = _schema(
 
 @dataclass(frozen=True)
 class Table:
-    """Name, columns, partitioning and target file size of one table."""
+    """Name, columns, partitioning and target file size of one table.
+
+    A `versioned` table is replaced as a whole by one change of its location. Its partitions are
+    found by listing that folder, for the catalog would keep a location of its own for each.
+    """
 
     name: str
     columns: StructType
     partitions: tuple[str, ...]
     target_file_bytes: int
+    versioned: bool = False
 
     def project(self, df: DataFrame) -> DataFrame:
         """The table's columns by name, in table order and with the table's types.
@@ -119,8 +124,8 @@ class Table:
 
 
 TRIPS = Table("taxi_trips", TRIP_COLUMNS, ("pickup_year", "pickup_month", "pickup_day"), 128 * MIB)
-HOURLY = Table("taxi_hourly_agg", HOURLY_COLUMNS, ("pickup_year", "pickup_month"), 64 * MIB)
-ANOMALIES = Table("anomaly_events", ANOMALY_COLUMNS, ("event_year", "event_month"), 128 * MIB)
+HOURLY = Table("taxi_hourly_agg", HOURLY_COLUMNS, ("pickup_year", "pickup_month"), 64 * MIB, True)
+ANOMALIES = Table("anomaly_events", ANOMALY_COLUMNS, ("event_year", "event_month"), 128 * MIB, True)
 TABLES = (TRIPS, HOURLY, ANOMALIES)
 
 TOPICS = ("sensor_data", "market_data", "weather_data")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,9 +11,9 @@ from tripflow.functions.identity import source_row_id
 from tripflow.operators.clean import clean
 from tripflow.schemas import TRIPS
 from tripflow.sources.raw import stream_raw
-from tripflow.tables.catalog import NAMESPACE, partition_columns
+from tripflow.tables.catalog import NAMESPACE
 from tripflow.tables.files import Files
-from tripflow.tables.write import append
+from tripflow.tables.write import append, append_once
 
 
 def unfinished_batch(spark: SparkSession, checkpoint: str) -> int | None:
@@ -24,35 +26,30 @@ def unfinished_batch(spark: SparkSession, checkpoint: str) -> int | None:
     return begun if begun > done else None
 
 
-def _not_yet_in(df: DataFrame, table: str, key: str) -> DataFrame:
-    """Rows of `df` whose key the table lacks; reads only the partitions `df` touches."""
-    spark = df.sparkSession
-    spark.catalog.refreshTable(table)
-    partitions = partition_columns(spark, table)
-    touched = df.select(*partitions).distinct()
-    held = spark.table(table).join(touched, partitions, "left_semi").select(*partitions, key)
-    return df.join(held, [*partitions, key], "left_anti")
-
-
 def append_stream(
     rows: DataFrame,
     table: str,
     key: str,
     checkpoint: str,
     every: str | None = None,
+    each: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append a stream to a catalog table; `key` identifies a row and is the same on a retry.
 
     A batch may run again after a crash. Only for that batch, the first of a restart, rows that
-    the table already holds are left out; all others are appended without looking.
+    the table already holds are left out; all others are appended without looking. `each` makes
+    the rows to append out of a batch and its number, and gives the same when it is run again.
     """
     session = rows.sparkSession
     repeated = unfinished_batch(session, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
+        if each:
+            batch = each(batch, number)
         if number == repeated:
-            batch = _not_yet_in(batch, table, key)
-        append(batch, table)
+            append_once(batch, table, key)
+        else:
+            append(batch, table)
         # Batches run in a copy of the session; the caller's own would keep its old file list.
         session.catalog.refreshTable(table)
 

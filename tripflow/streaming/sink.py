@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType
 
 from tripflow.functions.calendar import path_columns
-from tripflow.tables.write import distribute, settings, write_settings
+from tripflow.session import settings
+from tripflow.tables.write import distribute, write_settings
 
 # When a file is closed and a new one begun.
 ROLL_ROWS = 10000

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.schemas import TABLES, Table
+from tripflow.session import settings
 from tripflow.tables.files import Files
+from tripflow.tables.versions import Versions
 
 NAMESPACE = "timeseries"
 TARGET_PROPERTY = "tripflow.target-file-size-bytes"
+# Says that a table has versions; the folder they lie in, below the table's own.
+VERSIONS_PROPERTY = "tripflow.versions"
+VERSIONS = "_versions"
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def _text(value: str) -> str:
@@ -42,14 +48,44 @@ def create_tables(
     where = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
     for table in TABLES:
+        name = f"{namespace}.{table.name}"
         if location:
             Files(spark, location).make(f"{location}/{table.name}")
-        spark.sql(table_ddl(table, namespace, location))
-        if location:
-            spark.sql(f"MSCK REPAIR TABLE {namespace}.{table.name}")
+        with settings(spark, {_TRACKED: "false"} if table.versioned else {}):
+            spark.sql(table_ddl(table, namespace, location))
+        if table.versioned:
+            _find_version(spark, name)
+        elif location:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
     return list_tables(spark, namespace)
 
 
+def _find_version(spark: SparkSession, table: str) -> None:
+    """Mark a new table as versioned, and point it to the last version already there."""
+    if VERSIONS_PROPERTY in properties(spark, table):
+        return
+    if details(spark, table).get("Partition Provider"):
+        return  # made before there were versions; its partitions have locations of their own
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_text(VERSIONS_PROPERTY)} = 'yes')")
+    versions = Versions(spark, versions_root(spark, table))
+    if versions.last() is not None:
+        point_to(spark, table, versions.path(versions.last()))
+
+
+def versions_root(spark: SparkSession, table: str) -> str | None:
+    """The folder of the table's versions; none if the table is not versioned."""
+    if VERSIONS_PROPERTY not in properties(spark, table):
+        return None
+    place = location(spark, table)
+    above = place.rsplit("/", 1)[0]
+    return above if above.endswith(f"/{VERSIONS}") else f"{place}/{VERSIONS}"
+
+
+def point_to(spark: SparkSession, table: str, path: str) -> None:
+    """Make `path` the table's folder: one change, which readers see as a whole or not at all."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+
+
 def read_table(spark: SparkSession, table: Table, namespace: str = NAMESPACE) -> DataFrame:
     """The table in its declared column order; the catalog itself lists partition columns last."""
     return spark.table(f"{namespace}.{table.name}").select(*table.columns.names)
@@ -78,7 +114,11 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def target_file_bytes(spark: SparkSession, table: str) -> int | None:
     """The table's own target file size, if it names one."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
-    return next((int(r["value"]) for r in rows if r["key"] == TARGET_PROPERTY), None)
+    found = properties(spark, table).get(TARGET_PROPERTY)
+    return int(found) if found else None

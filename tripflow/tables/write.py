@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.session import durable, scratch
-from tripflow.tables.catalog import partition_columns, target_file_bytes
+from tripflow.session import durable, scratch, settings
+from tripflow.tables.catalog import partition_columns, point_to, target_file_bytes, versions_root
+from tripflow.tables.versions import Versions
 
 # Bytes of shuffled rows per byte of snappy Parquet, measured on cleaned trips.
 SHUFFLE_EXPANSION = 2
@@ -27,22 +27,6 @@ OPEN_FILES = 32
 _TURN = threading.RLock()
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for one write only."""
-    before = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def write_settings(target_bytes: int | None) -> dict[str, str]:
     """How a rebalance before a write forms its tasks.
 
@@ -84,6 +68,21 @@ def append(df: DataFrame, table: str) -> None:
     _insert(df, table, "INSERT INTO", "static")
 
 
+def _not_yet_in(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Rows of `df` whose key the table lacks; reads only the partitions `df` touches."""
+    spark = df.sparkSession
+    spark.catalog.refreshTable(table)
+    partitions = partition_columns(spark, table)
+    touched = df.select(*partitions).distinct()
+    held = spark.table(table).join(touched, partitions, "left_semi").select(*partitions, key)
+    return df.join(held, [*partitions, key], "left_anti")
+
+
+def append_once(df: DataFrame, table: str, key: str) -> None:
+    """Add the rows whose key the table lacks; `key` is the same on a retry."""
+    append(_not_yet_in(df, table, key), table)
+
+
 def overwrite_partitions(df: DataFrame, table: str, key: str) -> None:
     """Put `df` in place of the rows with its keys; a rerun adds nothing.
 
@@ -108,9 +107,41 @@ def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema.fields])
 
 
+#: Versions of a replaced table that stay: the new one, and those that readers may still read.
+KEPT = 3
+
+
 def replace(df: DataFrame, table: str) -> DataFrame:
     """Put `df` in place of all rows; columns, comments and partitioning of the table stay.
 
+    A versioned table's rows are written once, to a new folder, and one change of the table's
+    location puts them in place: a reader sees all old rows or all new ones, and a crash leaves the
+    one or the other. `df` may read the table itself. Other columns of `df` are kept in the files,
+    where the table does not see them. Returns the rows as written, with these columns.
+    """
+    spark = df.sparkSession
+    root = versions_root(spark, table)
+    if root is None:
+        return _replace_in_place(df, table)
+    with _TURN:
+        spark.catalog.refreshTable(table)
+        fields = {f.name: f.dataType for f in spark.table(table).schema.fields}
+        more = [c for c in df.columns if c not in fields]
+        rows = df.select(*[F.col(n).cast(t) for n, t in fields.items()], *more)
+        partitions = partition_columns(spark, table)
+        versions = Versions(spark, root)
+        number = (versions.last() or 0) + 1
+        with settings(spark, write_settings(target_file_bytes(spark, table))):
+            path = versions.write(distribute(rows, partitions), number, partitions)
+        point_to(spark, table, path)
+        spark.catalog.refreshTable(table)
+        versions.prune(KEPT)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+def _replace_in_place(df: DataFrame, table: str) -> DataFrame:
+    """For a table whose partitions the catalog tracks; readers may see it empty meanwhile.
+
     The rows are computed in full, in the table's types, before the old ones go, so an error in
     them leaves the table as it was, and `df` may read the table itself. Should the write fail
     after that, the old rows, of which a copy is taken first, are put back. While the write runs
