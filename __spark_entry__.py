@@ -32,8 +32,9 @@ from tripflow.streaming.detect import detect_stream, freeze_stats
 from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import INGESTION_TIME, time_partitioned_sink
-from tripflow.tables.catalog import create_tables, describe, list_tables, read_table
-from tripflow.tables.compact import compact
+from tripflow.tables.binpack import FILL, SIZE_RANGE, file_groups
+from tripflow.tables.catalog import create_tables, describe, list_tables, location, read_table
+from tripflow.tables.compact import compact, list_files
 from tripflow.tables.files import Files
 from tripflow.tables.purge import purge
 from tripflow.tables.write import append, overwrite_partitions, replace
@@ -356,6 +357,34 @@ def compact_roundtrip(spark, sf_dir):
     return plain(spark.table(table))
 
 
+#: Orders stand for files: a folder per month, sizes by price, and one in fifty far too large.
+FILE_TARGET = 40_000_000
+
+
+def compaction_groups(spark, sf_dir):
+    """Which files go together, and into how many pieces the large ones are cut."""
+    orders = configure(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    files = orders.selectExpr(
+        "date_format(o_orderdate, 'yyyy-MM') AS partition",
+        "concat('part-', lpad(o_orderkey, 12, '0')) AS file",
+        "CAST(o_totalprice * 100 AS BIGINT) * IF(o_orderkey % 50 = 0, 5, 1) AS length",
+    )
+    return file_groups(files, FILE_TARGET, 3).select("partition", "file", "length", "bin", "pieces")
+
+
+def compact_split(spark, sf_dir):
+    """A lone file per day, each far too large for the target, is split; others are not read."""
+    table = f"{fresh_tables(spark)}.taxi_trips"
+    append(trips(spark, sf_dir).where("pickup_day < 6"), table)
+    total = list_files(spark, location(spark, table)).agg(F.sum("length"), F.count("*")).first()
+    report = compact(spark, table, target_file_size_bytes=total[0] // total[1] // 3)
+    rows = spark.table(table).groupBy("pickup_day").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("trip_id").alias("ids")
+    )
+    split = report.agg(F.min(F.col("added_files") > F.col("rewritten_files")).alias("all_split"))
+    return plain(rows.join(split))
+
+
 def purge_roundtrip(spark, sf_dir):
     table = f"{fresh_tables(spark)}.taxi_trips"
     append(trips(spark, sf_dir), table)
@@ -521,6 +550,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_roundtrip": replace_roundtrip,
         "sql_access": sql_access,
         "compact_roundtrip": compact_roundtrip,
+        "compaction_groups": compaction_groups,
+        "compact_split": compact_split,
         "purge_roundtrip": purge_roundtrip,
         "metrics_report": metrics_report,
         "stream_time_buckets": stream_time_buckets,
@@ -766,6 +797,49 @@ def oracle_sql() -> dict[str, str]:
                    max(p95_fare) AS highest_p95
             FROM hours GROUP BY ALL""",
         "compact_roundtrip": all_trips,
+        "compaction_groups": f"""
+            WITH RECURSIVE
+            files AS (SELECT strftime(o_orderdate, '%Y-%m') AS partition,
+                             'part-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS file,
+                             CAST(trunc(o_totalprice * 100) AS BIGINT)
+                               * CASE WHEN o_orderkey % 50 = 0 THEN 5 ELSE 1 END AS length
+                      FROM orders),
+            bad AS (SELECT *, length > {SIZE_RANGE[1] * FILE_TARGET} AS large,
+                           count(*) OVER (PARTITION BY partition) AS among
+                    FROM files WHERE length NOT BETWEEN {SIZE_RANGE[0] * FILE_TARGET}
+                                                    AND {SIZE_RANGE[1] * FILE_TARGET}),
+            f AS (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY length DESC, file) AS i
+                  FROM bad WHERE NOT large AND among >= 3),
+            step AS (
+              SELECT DISTINCT partition, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS loads,
+                     CAST(0 AS BIGINT) AS bin FROM f
+              UNION ALL
+              SELECT partition, i,
+                     CASE WHEN b IS NULL THEN list_append(loads, length)
+                          ELSE list_transform(loads, lambda x, k: CASE WHEN k = b THEN x + length
+                                                                       ELSE x END) END,
+                     coalesce(b, len(loads) + 1)
+              FROM (SELECT f.partition, f.i, length, loads,
+                           list_min(list_filter(list_transform(loads, lambda x, k:
+                             CASE WHEN x + length <= {int(FILL * FILE_TARGET)} THEN k END),
+                             lambda k: k IS NOT NULL)) AS b
+                    FROM step JOIN f ON f.partition = step.partition AND f.i = step.i + 1)),
+            small AS (SELECT f.partition, file, length, bin - 1 AS bin, CAST(1 AS BIGINT) AS pieces,
+                             count(*) OVER (PARTITION BY f.partition, bin) AS mates
+                      FROM f JOIN step USING (partition, i)),
+            last AS (SELECT partition, max(bin) AS bin FROM small GROUP BY partition)
+            SELECT partition, file, length, bin, pieces FROM small WHERE mates > 1
+            UNION ALL
+            SELECT partition, file, length,
+                   coalesce(last.bin, -1)
+                     + row_number() OVER (PARTITION BY partition ORDER BY length DESC, file),
+                   CAST(round(length / {FILE_TARGET}) AS BIGINT)
+            FROM bad LEFT JOIN last USING (partition) WHERE large""",
+        "compact_split": f"""
+            WITH {TRIPS}
+            SELECT pickup_day, count(*) AS trips, CAST(sum(trip_id) AS BIGINT) AS ids,
+                   true AS all_split
+            FROM trips WHERE pickup_day < 6 GROUP BY pickup_day""",
         "purge_roundtrip": f"""
             WITH {TRIPS}
             SELECT pickup_year, pickup_month, pickup_day, count(*) AS trips FROM trips

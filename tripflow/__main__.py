@@ -19,6 +19,7 @@ from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import ROLL_EVENT_SECONDS, ROLL_WALL_CLOCK, time_partitioned_sink
 from tripflow.tables.catalog import NAMESPACE, create_tables, read_table
+from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES
 from tripflow.tables.purge import purge
 
 
@@ -58,6 +59,9 @@ def _arguments() -> argparse.Namespace:
     sink.add_argument("--roll-event-time", action="store_true", help="a folder per five minutes")
     sink.add_argument("--file-bytes", type=int, help="size files by bytes in place of rows")
     sink.add_argument("--once", action="store_true", help="take what is there and stop")
+    tidy = commands.add_parser("compact", help="rewrite trip files of bad size")
+    tidy.add_argument("--target-bytes", type=int, default=TARGET_FILE_BYTES)
+    tidy.add_argument("--min-files", type=int, default=MIN_INPUT_FILES)
     drop = commands.add_parser("purge", help="drop trip partitions before a date")
     drop.add_argument("before", type=date.fromisoformat)
     query = commands.add_parser("sql", help="run a query over the tables")
@@ -92,6 +96,8 @@ def main() -> None:
         counts.show()
     elif args.job == "sink":
         _sink(spark, args)
+    elif args.job == "compact":
+        _print(jobs.maintain(spark, args.namespace, args.target_bytes, args.min_files))
     elif args.job == "purge":
         print(purge(spark, f"{args.namespace}.{TRIPS.name}", args.before))
     elif args.job == "sql":

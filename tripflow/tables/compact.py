@@ -10,13 +10,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripflow.session import durable
+from tripflow.tables.binpack import badly_sized, file_groups
 from tripflow.tables.catalog import location, partition_columns
 from tripflow.tables.files import Files
 
-# File size aimed at, files a partition needs to be worth it, accepted size range.
+# File size aimed at, files a partition needs to be worth it.
 TARGET_FILE_BYTES = 134217728
 MIN_INPUT_FILES = 3
-SIZE_RANGE = (0.75, 1.8)
 
 WORK = "_compaction"
 
@@ -31,38 +31,31 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _badly_sized(size: Column, target: int) -> Column:
-    return ~size.between(SIZE_RANGE[0] * target, SIZE_RANGE[1] * target)
-
-
 def _within_table(path: Column, depth: int) -> Column:
     """The path below the table folder: partition folders and file name."""
     return F.substring_index(path, "/", -(depth + 1))
 
 
 def plan_rewrite(spark: SparkSession, table: str, target: int, min_files: int) -> DataFrame:
-    """The files to rewrite: partition, its columns, file, length, parts (new files), first_part.
+    """The files to rewrite: partition, its columns, file, length, pieces, first_part.
 
-    Numbering the new files runs over one row per table partition.
+    Files of one group become new file `first_part`, a file of several pieces that one and those
+    after it. Numbering the new files runs over one row per group.
     """
     columns = partition_columns(spark, table)
-    files = list_files(spark, location(spark, table))
-    bad = files.filter(_badly_sized(F.col("length"), target)).select(
+    files = list_files(spark, location(spark, table)).select(
         F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in columns]).alias("partition"),
         _within_table(F.col("path"), len(columns)).alias("file"),
         "length",
         *columns,
     )
-    parts = F.greatest(F.round(F.sum("length") / target), F.lit(1)).cast("int")
-    chosen = (
-        bad.groupBy("partition")
-        .agg(F.count(F.lit(1)).alias("files"), parts.alias("parts"))
-        .filter(F.col("files") >= min_files)
-        .drop("files")
-    )
-    upto = F.sum("parts").over(W.orderBy("partition").rowsBetween(W.unboundedPreceding, 0))
-    numbered = chosen.withColumn("first_part", (upto - F.col("parts")).cast("int"))
-    return bad.join(numbered, "partition")
+    chosen = durable(file_groups(files, target, min_files), "groups")
+    keys = ["partition", "chunk", "bin"]
+    groups = chosen.groupBy(*keys).agg(F.max("pieces").alias("parts"))
+    upto = F.sum("parts").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0))
+    numbered = groups.withColumn("first_part", (upto - F.col("parts")).cast("int"))
+    named = chosen.join(numbered, keys).select("file", "pieces", "first_part")
+    return files.join(named, "file")
 
 
 def _swap(spark: SparkSession, root: str, run: str, depth: int) -> None:
@@ -107,11 +100,12 @@ def compact(
     target_file_size_bytes: int = TARGET_FILE_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
 ) -> DataFrame:
-    """Rewrite, per partition, the files far from the target size if there are enough of them.
+    """Rewrite the files far from the target size, in groups near it.
 
-    Files of good size stay untouched. The rows go to new files by their position in the old
-    ones, so a partition of any size is spread evenly, one task per new file. The new files are
-    written beside the table, counted against the old ones, and only then moved in. Run one
+    Small files of a partition are packed into groups, first fit by decreasing size, if there are
+    enough of them, and each group becomes one file. A file that is too large is split into even
+    runs of rows, also where it is the only one. Files of good size, and files that fit no group,
+    are not read. One task writes one new file. The new files are written beside the table, counted against the old ones, and only then moved in. Run one
     compaction of a table at a time; appends may go on meanwhile, overwrites may not. Returns
     partition, rewritten_files, rewritten_bytes, added_files, added_bytes.
     """
@@ -122,7 +116,7 @@ def compact(
         f"{run}/inputs"
     )
     inputs = spark.read.parquet(f"{run}/inputs")
-    tasks = inputs.agg(F.max(F.col("first_part") + F.col("parts"))).first()[0]
+    tasks = inputs.agg(F.max(F.col("first_part") + F.col("pieces"))).first()[0]
     if tasks:
         old = chosen_rows(spark, table, inputs, target_file_size_bytes)
         _stage(spark, table, old, run, tasks)
@@ -151,7 +145,7 @@ def _within_span(inputs: DataFrame, columns: list[str]) -> Column:
 
 
 def chosen_rows(spark: SparkSession, table: str, inputs: DataFrame, target: int) -> DataFrame:
-    """The rows of the files in `inputs`, with file, position, parts and first_part.
+    """The rows of the files in `inputs`, with file, position, pieces and first_part.
 
     The scan reads the badly sized files of the partitions between the first and the last one
     chosen; the join keeps those of the files.
@@ -160,23 +154,26 @@ def chosen_rows(spark: SparkSession, table: str, inputs: DataFrame, target: int)
     return (
         spark.table(table)
         .filter(_within_span(inputs, columns))
-        .filter(_badly_sized(F.col("_metadata.file_size"), target))
+        .filter(badly_sized(F.col("_metadata.file_size"), target))
         .withColumns(
             {
                 "file": _within_table(F.col("_metadata.file_path"), len(columns)),
                 "position": F.col("_metadata.row_index"),
             }
         )
-        .join(inputs.select("file", "parts", "first_part"), "file")
+        .join(inputs.select("file", "pieces", "first_part"), "file")
     )
 
 
 def _stage(spark: SparkSession, table: str, old: DataFrame, run: str, tasks: int) -> None:
     """Write the rows of the chosen files, read from exactly these, to `tasks` new files."""
     rows, columns = spark.table(table), partition_columns(spark, table)
-    spread = F.pmod(F.xxhash64("file", "position"), F.col("parts"))
-    part = (F.col("first_part") + spread).cast("int")
-    staged = old.repartitionById(tasks, part).select(*rows.columns)
+    # Only files to be split are counted, from their footers.
+    split = old.where("pieces > 1").groupBy("file").agg((F.max("position") + 1).alias("rows"))
+    sized = old.join(durable(split, "split"), "file", "left")
+    run_of = F.floor(F.col("position") * F.col("pieces") / F.col("rows"))
+    part = (F.col("first_part") + F.coalesce(run_of, F.lit(0))).cast("int")
+    staged = sized.repartitionById(tasks, part).select(*rows.columns)
     staged.write.partitionBy(*columns).parquet(f"{run}/new")
 
     expected = old.count()
