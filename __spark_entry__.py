@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, TimestampType
@@ -27,11 +28,12 @@ from tripflow.schemas import HOURLY
 from tripflow.session import configure, scratch
 from tripflow.sources.events import raw_trips, topic_records
 from tripflow.sources.raw import read_raw, stream_raw
-from tripflow.sources.topics import file_topics, parse_values
+from tripflow.sources.topics import file_topics, parse_values, stamped_file_topics
 from tripflow.streaming.detect import detect_stream, freeze_stats
 from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.live import detect_live
-from tripflow.streaming.sink import INGESTION_TIME, time_partitioned_sink
+from tripflow.streaming.sink import BUCKETS, INGESTION_TIME, time_partitioned_sink
+from tripflow.streaming.topic_sink import Topic, topic_sink
 from tripflow.tables.binpack import FILL, SIZE_RANGE, file_groups
 from tripflow.tables.catalog import create_tables, describe, list_tables, location, read_table
 from tripflow.tables.compact import compact, list_files
@@ -515,6 +517,134 @@ def hourly_by_delivery(spark, sf_dir):
     return plain(rounded(held.select(*columns, close.alias("rounded")), *sums))
 
 
+# The topics with columns of their own. Event times run 24 times as fast, 30 days in 30 hours, so
+# that five minutes hold several records.
+TOPIC_COLUMNS = {
+    "sensor_data": "timestamp timestamp, sensor bigint, reading double",
+    "market_data": "timestamp timestamp, symbol string, price double, volume int",
+    "weather_data": "timestamp timestamp, station struct<id: bigint>, wind double",
+}
+
+
+def _own_topics(spark, sf_dir, spoilt=False):
+    """The records as JSON lines, a folder per topic; `spoilt`: some that cannot be written."""
+    fast = "timestamp_millis(1704067200000 + (unix_millis(timestamp) - 1704067200000) div 24)"
+    stamp = f"date_format({fast}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
+    bodies = {
+        "sensor_data": "named_struct('timestamp', t, 'sensor', key, 'reading', value)",
+        "market_data": "named_struct('timestamp', t, 'symbol', concat('S', key % 50), 'price', value,"
+        " 'volume', CAST(get_json_object(props, '$.k') AS INT))",
+        "weather_data": "named_struct('timestamp', t, 'station', named_struct('id', key),"
+        " 'wind', value)",
+    }
+    records = topic_records(events(spark, sf_dir)).withColumn("t", F.expr(stamp))
+    value = "CASE topic " + " ".join(f"WHEN '{t}' THEN to_json({b})" for t, b in bodies.items()) + " END"
+    if spoilt:
+        value = (
+            f"CASE WHEN key % 97 = 0 THEN 'no JSON' WHEN key % 89 = 0 AND topic = 'sensor_data' "
+            f"THEN to_json(named_struct('timestamp', t, 'sensor', 'x')) "
+            f"WHEN key % 83 = 0 THEN '{{}}' ELSE {value} END"
+        )
+    folder = scratch(spark, "own-topics")
+    lines = records.select("topic", F.expr(value).alias("value"))
+    lines.write.partitionBy("topic").text(folder)
+    return folder
+
+
+def _sink_topics(spark, folder, path, log, **options):
+    topics = [Topic(name, columns) for name, columns in TOPIC_COLUMNS.items()]
+    records = stamped_file_topics(spark, folder)
+    topic_sink(records, topics, path, log, every=None, **options).awaitTermination()
+
+
+def stream_event_roll(spark, sf_dir):
+    """The files of the sink: first and last event time and records of each."""
+    path, log = scratch(spark, "rolled"), scratch(spark, "rolled-log")
+    _sink_topics(spark, _own_topics(spark, sf_dir), path, log)
+    files = spark.read.schema("timestamp timestamp, topic string").parquet(path)
+    ms = F.unix_millis("timestamp")
+    spans = files.groupBy("topic", F.col("_metadata.file_path").alias("file")).agg(
+        F.min(ms).alias("first"), F.max(ms).alias("last"), F.count(F.lit(1)).alias("records")
+    )
+    return spans.drop("file")
+
+
+def stream_topic_schemas(spark, sf_dir):
+    """Three topics of different columns in one run: each folder's columns, records and sums."""
+    path, log = scratch(spark, "own"), scratch(spark, "own-log")
+    _sink_topics(spark, _own_topics(spark, sf_dir), path, log, roll_seconds=3600)
+    sums = {
+        "sensor_data": ("sensor", "reading"),
+        "market_data": ("volume", "price"),
+        "weather_data": ("station.id", "wind"),
+    }
+    found = []
+    for topic, (whole, real) in sums.items():
+        rows = spark.read.parquet(f"{path}/topic={topic}")
+        found.append(
+            rows.agg(
+                F.lit(topic).alias("topic"),
+                F.lit(",".join(c for c in rows.columns if c not in BUCKETS)).alias("columns"),
+                F.count(F.lit(1)).alias("records"),
+                F.sum(F.col(whole).cast("bigint")).alias("whole"),
+                F.round(F.sum(real), 3).alias("real"),
+                F.count(INGESTION_TIME).alias("stamped"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def stream_bad_records(spark, sf_dir):
+    """What the error folder holds after the sink has failed, and that nothing was written."""
+    path, log = scratch(spark, "bad"), scratch(spark, "bad-log")
+    folder = _own_topics(spark, sf_dir, spoilt=True)
+    failed = False
+    try:
+        _sink_topics(spark, folder, path, log)
+    except StreamingQueryException as stopped:
+        failed = "all bad records are in" in str(stopped)
+    written = any(f.endswith(".parquet") for f in Files(spark, path).walk(path))
+    bad = spark.read.parquet(f"{log}/errors").groupBy("topic", "message").agg(
+        F.count(F.lit(1)).alias("records"), F.count("position").alias("placed")
+    )
+    return bad.withColumns({"failed": F.lit(failed), "written": F.lit(written)})
+
+
+def stream_killed_and_rerun(spark, sf_dir):
+    """A sink that stops between writing and committing, then runs again.
+
+    Its records and their times of arrival are those of a run that did not stop.
+    """
+    folder = _own_topics(spark, sf_dir)
+    found = {}
+    for name in ("whole", "killed"):
+        path, log = scratch(spark, name), scratch(spark, f"{name}-log")
+        if name == "killed":
+            try:
+                _sink_topics(
+                    spark, folder, path, log, roll_seconds=3600, before_commit=_stop
+                )
+            except StreamingQueryException:
+                pass
+        _sink_topics(spark, folder, path, log, roll_seconds=3600)
+        found[name] = spark.read.schema(
+            f"timestamp timestamp, {INGESTION_TIME} timestamp, topic string"
+        ).parquet(path)
+    both = [F.col("topic"), F.col("timestamp"), F.col(INGESTION_TIME)]
+    counts = [
+        rows.groupBy(*both).agg(F.count(F.lit(1)).alias(name)) for name, rows in found.items()
+    ]
+    met = counts[0].join(counts[1], ["topic", "timestamp", INGESTION_TIME], "full")
+    return met.groupBy("topic").agg(
+        F.sum("whole").alias("records"),
+        F.count_if(~F.col("whole").eqNullSafe(F.col("killed"))).alias("different"),
+    )
+
+
+def _stop(number: int) -> None:
+    raise RuntimeError("killed")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Hourly aggregates of the cleaned trips."""
     return hourly(trips(spark, SMOKE_DIR))
@@ -562,6 +692,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_anomalies": stream_anomalies,
         "stream_live_anomalies": stream_live_anomalies,
         "hourly_by_delivery": hourly_by_delivery,
+        "stream_event_roll": stream_event_roll,
+        "stream_topic_schemas": stream_topic_schemas,
+        "stream_bad_records": stream_bad_records,
+        "stream_killed_and_rerun": stream_killed_and_rerun,
         **LLM_QUERIES,
     }
 
@@ -666,6 +800,12 @@ topics AS (
   FROM events
 )"""
 
+FAST_TOPICS = f"""{TOPICS},
+fast AS (
+  SELECT topic, ms, ms // 3600000 AS hour
+  FROM (SELECT topic, 1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 24 AS ms FROM topics)
+)"""
+
 BUCKET_COUNTS = f"""
 WITH {TOPICS}
 SELECT topic, CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month,
@@ -872,6 +1012,45 @@ def oracle_sql() -> dict[str, str]:
                 {_events('abs(z) > 3', FARE_TYPE)})"""
             for n in (1, 2)
         ),
+        "stream_event_roll": f"""
+            WITH RECURSIVE {FAST_TOPICS},
+            starts AS (
+              SELECT topic, hour, min(ms) AS start FROM fast GROUP BY topic, hour
+              UNION ALL
+              SELECT fast.topic, fast.hour, min(ms) FROM starts JOIN fast
+                ON fast.topic = starts.topic AND fast.hour = starts.hour AND ms >= start + 300000
+              GROUP BY fast.topic, fast.hour),
+            placed AS (SELECT f.topic, ms, start FROM fast f ASOF JOIN starts s
+                         ON f.topic = s.topic AND f.hour = s.hour AND f.ms >= s.start)
+            SELECT topic, min(ms) AS first, max(ms) AS last, count(*) AS records
+            FROM placed GROUP BY topic, start""",
+        "stream_topic_schemas": f"""
+            WITH {TOPICS}, t AS (
+              SELECT CASE WHEN event_type IN ('click', 'view') THEN 'sensor_data'
+                          WHEN event_type = 'purchase' THEN 'market_data'
+                          ELSE 'weather_data' END AS topic, user_id, value,
+                     CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+            SELECT topic, CASE topic WHEN 'sensor_data' THEN 'timestamp,sensor,reading'
+                            WHEN 'market_data' THEN 'timestamp,symbol,price,volume'
+                            ELSE 'timestamp,station,wind' END || ',{INGESTION_TIME}' AS columns,
+                   count(*) AS records,
+                   CAST(sum(CASE WHEN topic = 'market_data' THEN k ELSE user_id END) AS BIGINT)
+                     AS whole,
+                   round(sum(value), 3) AS real, count(*) AS stamped
+            FROM t GROUP BY topic""",
+        "stream_bad_records": f"""
+            WITH {TOPICS}, bad AS (
+              SELECT topic, CASE WHEN user_id % 97 = 0 THEN 'record does not parse'
+                                 WHEN user_id % 89 = 0 AND topic = 'sensor_data'
+                                   THEN 'sensor is no bigint'
+                                 WHEN user_id % 83 = 0 THEN 'record without event time' END
+                       AS message FROM topics)
+            SELECT topic, message, count(*) AS records, count(*) AS placed, true AS failed,
+                   false AS written
+            FROM bad WHERE message IS NOT NULL GROUP BY topic, message""",
+        "stream_killed_and_rerun": f"""
+            WITH {TOPICS} SELECT topic, count(*) AS records, CAST(0 AS BIGINT) AS different
+            FROM topics GROUP BY topic""",
         "hourly_by_delivery": f"""
             WITH {TRIPS}
             SELECT pickup_year, pickup_month, pickup_day, pickup_hour, count(*) AS total_trips,

@@ -14,10 +14,16 @@ from tripflow.plans import jobs
 from tripflow.schemas import TRIPS
 from tripflow.session import build_session
 from tripflow.sources.raw import stream_raw
-from tripflow.sources.topics import file_topics, kafka_topics, parse_values
+from tripflow.sources.topics import (
+    file_topics,
+    kafka_topics,
+    parse_values,
+    stamped_file_topics,
+)
 from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import ROLL_EVENT_SECONDS, ROLL_WALL_CLOCK, time_partitioned_sink
+from tripflow.streaming.topic_sink import Topic, topic_sink
 from tripflow.tables.catalog import NAMESPACE, create_tables, read_table
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES
 from tripflow.tables.purge import purge
@@ -59,6 +65,18 @@ def _arguments() -> argparse.Namespace:
     sink.add_argument("--roll-event-time", action="store_true", help="a folder per five minutes")
     sink.add_argument("--file-bytes", type=int, help="size files by bytes in place of rows")
     sink.add_argument("--once", action="store_true", help="take what is there and stop")
+    topics = commands.add_parser("topics", help="topics of different columns, files by event time")
+    topics.add_argument("path")
+    topics.add_argument("checkpoint")
+    origin = topics.add_mutually_exclusive_group(required=True)
+    origin.add_argument("--servers", help="broker addresses")
+    origin.add_argument("--files", help="folder of topic=<name>/ text files")
+    topics.add_argument(
+        "--topic", action="append", required=True, metavar="NAME=DDL", help="columns of one topic"
+    )
+    topics.add_argument("--errors", help="folder of bad records, by default beside the checkpoint")
+    topics.add_argument("--tolerate", action="store_true", help="go on without bad records")
+    topics.add_argument("--once", action="store_true", help="take what is there and stop")
     tidy = commands.add_parser("compact", help="rewrite trip files of bad size")
     tidy.add_argument("--target-bytes", type=int, default=TARGET_FILE_BYTES)
     tidy.add_argument("--min-files", type=int, default=MIN_INPUT_FILES)
@@ -96,6 +114,8 @@ def main() -> None:
         counts.show()
     elif args.job == "sink":
         _sink(spark, args)
+    elif args.job == "topics":
+        _topics(spark, args)
     elif args.job == "compact":
         _print(jobs.maintain(spark, args.namespace, args.target_bytes, args.min_files))
     elif args.job == "purge":
@@ -134,5 +154,19 @@ def _sink(spark: SparkSession, args: argparse.Namespace) -> None:
     query.awaitTermination()
 
 
+def _topics(spark: SparkSession, args: argparse.Namespace) -> None:
+    topics = [Topic(*text.split("=", 1)) for text in args.topic]
+    if args.servers:
+        names = [t.name for t in topics]
+        records = kafka_topics(spark, args.servers, names, position=True)
+    else:
+        records = stamped_file_topics(spark, args.files)
+    every = None if args.once else ROLL_WALL_CLOCK
+    query = topic_sink(
+        records, topics, args.path, args.checkpoint, args.errors, tolerate=args.tolerate, every=every
+    )
+    query.awaitTermination()
+
+
 if __name__ == "__main__":
     main()

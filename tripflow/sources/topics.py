@@ -19,10 +19,11 @@ def kafka_topics(
     servers: str,
     topics: Sequence[str] = TOPICS,
     min_partitions: int | None = None,
+    position: bool = False,
 ) -> DataFrame:
     """Subscribe to `topics`; needs the Kafka source on the classpath.
 
-    `min_partitions` splits topic partitions further when there are more cores than partitions.
+    `position` adds a record's topic partition and offset. `min_partitions` splits topic partitions further when there are more cores than partitions.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -37,6 +38,7 @@ def kafka_topics(
         "topic",
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("kafka_ingestion_time"),
+        *([F.concat_ws(":", "partition", "offset").alias("position")] if position else []),
     )
 
 
@@ -50,6 +52,24 @@ def file_topics(
     return reader.text(path).select("topic", "value")
 
 
+def stamped_file_topics(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """`file_topics` with the file as position and its date as time of arrival.
+
+    Both belong to the file, so a batch that runs again finds the same.
+    """
+    reader = spark.readStream.schema("value string, topic string").option("maxFileAge", ANY_AGE)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path).select(
+        "topic",
+        "value",
+        F.col("_metadata.file_modification_time").alias("kafka_ingestion_time"),
+        F.col("_metadata.file_path").alias("position"),
+    )
+
+
 def parse_values(records: DataFrame, schema: str) -> DataFrame:
     """JSON values into the columns of `schema` (DDL).
 
