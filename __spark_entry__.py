@@ -27,6 +27,7 @@ from tripflow.plans import jobs
 from tripflow.schemas import HOURLY
 from tripflow.session import configure, scratch
 from tripflow.sources.events import raw_trips, topic_records
+from tripflow.sources.mixed import read_mixed
 from tripflow.sources.raw import read_raw, stream_raw
 from tripflow.sources.topics import file_topics, parse_values, stamped_file_topics
 from tripflow.streaming.detect import detect_stream, freeze_stats
@@ -34,6 +35,7 @@ from tripflow.streaming.intake import ingest_new_files
 from tripflow.streaming.live import detect_live
 from tripflow.streaming.sink import BUCKETS, INGESTION_TIME, time_partitioned_sink
 from tripflow.streaming.topic_sink import Topic, topic_sink
+from tripflow.tables.audit import layout
 from tripflow.tables.binpack import FILL, SIZE_RANGE, file_groups
 from tripflow.tables.catalog import create_tables, describe, list_tables, location, read_table
 from tripflow.tables.compact import compact, list_files
@@ -144,6 +146,42 @@ def raw_scan_count(spark, sf_dir):
     return jobs.row_counts({"raw": read_raw(spark, raw_files(spark, sf_dir))})
 
 
+def mixed_schemas(spark, sf_dir):
+    """Trips of three months' files, whose columns differ in type, order, case and number."""
+    folder = scratch(spark, "mixed")
+    raw = raw_trips(events(spark, sf_dir))
+    usual = raw.where("event_id % 3 = 0")
+    wide = raw.where("event_id % 3 = 1").select(
+        F.col("passenger_count").cast("double"), F.col("VendorID").cast("bigint"), "*"
+    ).toDF("passengers", "vendor", *raw.columns)
+    wide = wide.drop("passenger_count", "VendorID").withColumnsRenamed(
+        {"passengers": "passenger_count", "vendor": "vendorid"}
+    )
+    text = raw.where("event_id % 3 = 2").withColumns(
+        {"RatecodeID": F.col("RatecodeID").cast("string"), "fare_amount": F.col("fare_amount").cast("string")}
+    ).drop("tolls_amount")
+    for part in (usual, wide, text):
+        part.withColumn("airport_fee", F.lit(0.0)).drop("event_id").write.mode("append").parquet(folder)
+    found = clean(read_mixed(spark, folder), F.lit(0).cast("bigint"))
+    return plain(
+        found.groupBy("pickup_day", "vendor_id", "rate_code").agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.sum("passenger_count").alias("passengers"),
+            F.round(F.sum("fare_amount"), 4).alias("fares"),
+            F.count("tolls_amount").alias("tolls"),
+        )
+    )
+
+
+def layout_audit(spark, sf_dir):
+    """Files, rows, codec and sizes of each partition of a freshly written table."""
+    table = f"{fresh_tables(spark)}.taxi_trips"
+    append(trips(spark, sf_dir), table)
+    found = layout(spark, table)
+    columns = ("partition", "files", "rows", "row_groups", "codecs", "well_sized", "share_well_sized")
+    return found.select(*columns, (F.col("bytes") > 0).alias("has_bytes"))
+
+
 def trips_clean(spark, sf_dir):
     return plain(trips(spark, sf_dir))
 
@@ -653,6 +691,8 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_scan_count": raw_scan_count,
+        "mixed_schemas": mixed_schemas,
+        "layout_audit": layout_audit,
         "trips_clean": trips_clean,
         "surrogate_ids": surrogate_ids,
         "trips_by_partition": trips_by_partition,
@@ -838,6 +878,21 @@ def oracle_sql() -> dict[str, str]:
     all_hours = f"WITH {HOURS} SELECT * FROM hours"
     return {
         "raw_scan_count": "SELECT 'raw' AS stage, count(*) AS rows FROM events",
+        "mixed_schemas": f"""
+            WITH {TRIPS}
+            SELECT pickup_day, vendor_id, rate_code, count(*) AS trips,
+                   CAST(sum(passenger_count) AS BIGINT) AS passengers,
+                   round(sum(fare_amount), 4) AS fares,
+                   count(*) FILTER (WHERE trip_id % 3 < 2) AS tolls
+            FROM trips GROUP BY ALL""",
+        "layout_audit": f"""
+            WITH {TRIPS}
+            SELECT 'pickup_year=' || pickup_year || '/pickup_month=' || pickup_month
+                     || '/pickup_day=' || pickup_day AS partition,
+                   CAST(1 AS BIGINT) AS files, count(*) AS rows, CAST(1 AS BIGINT) AS row_groups,
+                   'SNAPPY' AS codecs, CAST(0 AS BIGINT) AS well_sized,
+                   CAST(0 AS DOUBLE) AS share_well_sized, true AS has_bytes
+            FROM trips GROUP BY pickup_year, pickup_month, pickup_day""",
         "trips_clean": all_trips,
         "surrogate_ids": f"""
             WITH {TRIPS}

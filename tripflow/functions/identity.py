@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,29 +13,46 @@ from pyspark.sql import functions as F
 FILE_SHIFT = 40
 
 
-def source_row_id() -> Column:
+#: Files whose numbers are broadcast; beyond, Spark chooses how to join them.
+BROADCAST_FILES = 100_000
+_FILE, _ROW = "_metadata.file_path", "_metadata.row_index"
+
+
+def source_row_id(path: str = _FILE, place: str = _ROW) -> Column:
     """64-bit id of a row by its Parquet file and its position there.
 
-    The same on every run and attempt, and allowed on streams; usable only directly on a file scan.
+    The same on every run and attempt, and allowed on streams; by default usable only directly on a
+    file scan.
     """
-    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return F.xxhash64(F.col(path), F.col(place))
+
+
+def _plain_path(uri: str) -> str:
+    """A file as its rows name it; the scan's list has it as a URI."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
 
 
-def with_file_ids(rows: DataFrame, name: str, first_file: int = 0) -> DataFrame:
+def with_file_ids(
+    rows: DataFrame, name: str, first_file: int = 0, path: str = _FILE, place: str = _ROW
+) -> DataFrame:
     """`rows` of a file scan with an exact id: number of the file, and the row's place in it.
 
     Files are numbered by path from `first_file`; numbers have 23 bits and places 40, so no two
-    rows share an id. The files' numbers are one small row per file.
+    rows share an id. The numbers come from the scan's list of files, one small row each, and the
+    rows stay where they are.
     """
-    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    scanned = rows.withColumns({"_path": path, "_place": place})
-    files = scanned.select("_path").distinct()
-    number = F.row_number().over(Window.orderBy("_path")) - 1 + first_file
-    numbered = files.withColumn("_file", number.cast("long"))
-    met = scanned.join(numbered, "_path")
-    return met.withColumn(name, F.col("_file") * (1 << FILE_SHIFT) + F.col("_place")).drop(
-        "_path", "_place", "_file"
+    spark = rows.sparkSession
+    listed = sorted(map(_plain_path, rows.inputFiles()))
+    numbered = spark.createDataFrame(
+        [(p, first_file + i) for i, p in enumerate(listed)], "_path string, _file long"
     )
+    if len(listed) <= BROADCAST_FILES:
+        numbered = F.broadcast(numbered)
+    scanned = rows.withColumns({"_path": F.col(path), "_place": F.col(place)})
+    # A file that is not listed would be lost without a word.
+    number = F.coalesce("_file", F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("long"))
+    met = scanned.join(numbered, "_path", "left")
+    return met.withColumn(name, number * (1 << FILE_SHIFT) + F.col("_place")).drop("_path", "_place", "_file")
 
 
 def content_id(*columns: str) -> Column:

@@ -17,7 +17,7 @@ from tripflow.operators.hourly_state import HourStates, hourly_from
 from tripflow.operators.rules import detect_rules
 from tripflow.schemas import ANOMALIES, HOURLY, TRIPS
 from tripflow.session import durable
-from tripflow.sources.raw import read_raw
+from tripflow.sources.mixed import PATH, PLACE, read_mixed
 from tripflow.tables.catalog import NAMESPACE, read_table, versions_root
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES, compact
 from tripflow.tables.write import append, append_once, overwrite_partitions, replace
@@ -48,18 +48,19 @@ def ingest(
 ) -> DataFrame:
     """Clean raw trips (a path or a DataFrame) into the trips table.
 
-    `mode` "overwrite_partitions" replaces trips by their id, so it needs ids that are the same on
+    The files of a path may differ in the types of their columns. `mode` "overwrite_partitions" replaces trips by their id, so it needs ids that are the same on
     a rerun: a `trip_id` of the caller's, or `ids` "source".
     """
-    rows = read_raw(spark, raw) if isinstance(raw, str) else raw
+    source = {"path": PATH, "place": PLACE} if isinstance(raw, str) else {}
+    rows = read_mixed(spark, raw) if isinstance(raw, str) else raw
     table = f"{namespace}.{TRIPS.name}"
     if trip_id is None and ids == "file":
         spark.catalog.refreshTable(table)
         last = spark.table(table).agg(F.max("trip_id")).first()[0]
-        rows = with_file_ids(rows, "trip_id", 0 if last is None else (last >> FILE_SHIFT) + 1)
+        rows = with_file_ids(rows, "trip_id", 0 if last is None else (last >> FILE_SHIFT) + 1, **source)
         trip_id = F.col("trip_id")
     elif trip_id is None and ids == "source":
-        trip_id = source_row_id()
+        trip_id = source_row_id(**source)
     cleaned = clean(rows, trip_id, nan)
     if mode == "overwrite_partitions":
         if trip_id is None or ids == "file":
@@ -136,8 +137,9 @@ def deliver(
 
     Trips need ids that are the same on a retry: `trip_id`, or file and place.
     """
-    rows = read_raw(spark, raw) if isinstance(raw, str) else raw
-    trips = clean(rows, source_row_id() if trip_id is None else trip_id, nan)
+    source = {"path": PATH, "place": PLACE} if isinstance(raw, str) else {}
+    rows = read_mixed(spark, raw) if isinstance(raw, str) else raw
+    trips = clean(rows, source_row_id(**source) if trip_id is None else trip_id, nan)
     table = f"{namespace}.{TRIPS.name}"
     # An earlier try may have left trips.
     append_once(trips, table, "trip_id")
