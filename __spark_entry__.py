@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -24,7 +24,7 @@ from tripflow.operators.hourly_state import merged_states
 from tripflow.operators.quantile import exact_quantile
 from tripflow.operators.rules import RULES, detect_rules
 from tripflow.plans import jobs
-from tripflow.schemas import HOURLY
+from tripflow.schemas import HOURLY, TABLES
 from tripflow.session import configure, scratch
 from tripflow.sources.events import raw_trips, topic_records
 from tripflow.sources.mixed import read_mixed
@@ -39,6 +39,7 @@ from tripflow.tables.audit import layout
 from tripflow.tables.binpack import FILL, SIZE_RANGE, file_groups
 from tripflow.tables.catalog import create_tables, describe, list_tables, location, read_table
 from tripflow.tables.compact import compact, list_files
+from tripflow.tables.expiry import expire, register
 from tripflow.tables.files import Files
 from tripflow.tables.purge import purge
 from tripflow.tables.write import append, overwrite_partitions, replace
@@ -432,6 +433,31 @@ def purge_roundtrip(spark, sf_dir):
     return per_day(spark.table(table))
 
 
+def expiry_register(spark, sf_dir):
+    """What stays after an expiry eight days on: versions of the hourly table, one for each day.
+
+    Replaced once for each of the first days, the table keeps the last version of all; the older
+    ones, and intermediate results, are too old by then.
+    """
+    namespace = fresh_tables(spark)
+    table = f"{namespace}.taxi_hourly_agg"
+    for day in (5, 10, 31):
+        replace(hourly(trips(spark, sf_dir).where(F.col("pickup_day") <= day)), table)
+    left = scratch(spark, "left-behind")
+    trips(spark, sf_dir).write.parquet(f"{left}/one")
+    names = [f"{namespace}.{t.name}" for t in TABLES]
+    later = datetime.now(timezone.utc) + timedelta(days=8)
+    soon = expire(spark, names, left)
+    told = expire(spark, names, left, at=later)
+    kinds = told.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("folders"), F.count_if("removed").alias("removed")
+    )
+    early = soon.groupBy("kind").agg(F.count_if("removed").alias("removed_at_once"))
+    still = spark.table(table).agg(F.sum("total_trips").alias("trips"))
+    again = register(spark, names, left).agg(F.count(F.lit(1)).alias("stay"))
+    return kinds.join(early, "kind").join(still).join(again)
+
+
 def metrics_report(spark, sf_dir):
     """All jobs in order; rows per stage."""
     namespace = fresh_tables(spark)
@@ -693,6 +719,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_scan_count": raw_scan_count,
         "mixed_schemas": mixed_schemas,
         "layout_audit": layout_audit,
+        "expiry_register": expiry_register,
         "trips_clean": trips_clean,
         "surrogate_ids": surrogate_ids,
         "trips_by_partition": trips_by_partition,
@@ -893,6 +920,13 @@ def oracle_sql() -> dict[str, str]:
                    'SNAPPY' AS codecs, CAST(0 AS BIGINT) AS well_sized,
                    CAST(0 AS DOUBLE) AS share_well_sized, true AS has_bytes
             FROM trips GROUP BY pickup_year, pickup_month, pickup_day""",
+        "expiry_register": f"""
+            WITH {TRIPS}, kinds AS (SELECT unnest(['version', 'scratch']) AS kind,
+              unnest([3, 1]) AS folders, unnest([2, 1]) AS removed)
+            SELECT kind, CAST(folders AS BIGINT) AS folders, CAST(removed AS BIGINT) AS removed,
+                   CAST(0 AS BIGINT) AS removed_at_once,
+                   (SELECT count(*) FROM trips) AS trips, CAST(1 AS BIGINT) AS stay
+            FROM kinds""",
         "trips_clean": all_trips,
         "surrogate_ids": f"""
             WITH {TRIPS}

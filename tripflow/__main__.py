@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +11,7 @@ from tripflow.functions.identity import source_row_id
 from tripflow.operators.clean import clean
 from tripflow.operators.rules import RULES
 from tripflow.plans import jobs
-from tripflow.schemas import TRIPS
+from tripflow.schemas import TABLES, TRIPS
 from tripflow.session import build_session
 from tripflow.sources.raw import stream_raw
 from tripflow.sources.topics import (
@@ -26,6 +26,7 @@ from tripflow.streaming.sink import ROLL_EVENT_SECONDS, ROLL_WALL_CLOCK, time_pa
 from tripflow.streaming.topic_sink import Topic, topic_sink
 from tripflow.tables.catalog import NAMESPACE, create_tables, read_table
 from tripflow.tables.compact import MIN_INPUT_FILES, TARGET_FILE_BYTES
+from tripflow.tables.expiry import KEEP, expire
 from tripflow.tables.purge import purge
 
 
@@ -82,6 +83,10 @@ def _arguments() -> argparse.Namespace:
     tidy.add_argument("--min-files", type=int, default=MIN_INPUT_FILES)
     drop = commands.add_parser("purge", help="drop trip partitions before a date")
     drop.add_argument("before", type=date.fromisoformat)
+    tidy_up = commands.add_parser("expire", help="remove old versions, work and scratch folders")
+    tidy_up.add_argument("--days", type=float, default=KEEP.days)
+    tidy_up.add_argument("--scratch", help="folder of intermediate results")
+    tidy_up.add_argument("--dry", action="store_true", help="only list")
     query = commands.add_parser("sql", help="run a query over the tables")
     query.add_argument("text")
     query.add_argument("--out", help="folder for the whole result as Parquet")
@@ -120,6 +125,9 @@ def main() -> None:
         _print(jobs.maintain(spark, args.namespace, args.target_bytes, args.min_files))
     elif args.job == "purge":
         print(purge(spark, f"{args.namespace}.{TRIPS.name}", args.before))
+    elif args.job == "expire":
+        names = [f"{args.namespace}.{t.name}" for t in TABLES]
+        _print(expire(spark, names, args.scratch, keep=timedelta(days=args.days), dry=args.dry))
     elif args.job == "sql":
         spark.catalog.setCurrentDatabase(args.namespace)
         result = spark.sql(args.text)

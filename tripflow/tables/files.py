@@ -36,6 +36,16 @@ class Files:
             while found.hasNext():
                 yield found.next().getPath().toString()
 
+    def age_and_size(self, path: str) -> tuple[int, int]:
+        """The newest change of a file below `path` (of `path` itself if there is none), in
+        milliseconds since 1970, and the bytes of all of them."""
+        newest, size = 0, 0
+        found = self._fs.listFiles(self._path(path), True)
+        while found.hasNext():
+            status = found.next()
+            newest, size = max(newest, status.getModificationTime()), size + status.getLen()
+        return newest or self._fs.getFileStatus(self._path(path)).getModificationTime(), size
+
     def date_back(self, path: str, days: int) -> None:
         """Make a file look `days` older."""
         changed = self._fs.getFileStatus(self._path(path)).getModificationTime()
