@@ -200,7 +200,8 @@ def mix_sources(
     Sorting by (mix_slot, mix_row) gives the mixture. Documents of a source are ordered by the MD5
     of doc_id, then by text; rows equal in both are interchangeable. A missing source counts as the
     empty one, a missing doc_id as the word "null". Columns of `docs` stay as they are; those named
-    like one of the four new ones are replaced. Without `period` it is `period_of` the sources.
+    like one of the four new ones are replaced. Without `period` it is `period_of` the sources. A
+    source that `weights` leaves out fails the query, which names it.
 
     No source is numbered in one piece: each is cut into 16**digits parts by the first digits of
     the MD5, parts are counted before the shuffle, and the offset of each part comes from a window
@@ -238,9 +239,11 @@ def mix_sources(
         F.col("slot").alias("_slot"),
     )
     shares = turns.select(F.col("_source").alias("mix_source"), "_share").distinct()
-    placed = numbered.join(small(shares), "mix_source").withColumn(
-        "_turn", F.col("mix_block") % F.col("_share")
-    )
+    # A source without a weight has no place, and its documents are not to vanish.
+    missing = F.raise_error(F.concat(F.lit("no weight for source "), "mix_source")).cast("long")
+    placed = numbered.join(small(shares), "mix_source", "left")
+    placed = placed.withColumn("_share", F.coalesce("_share", missing))
+    placed = placed.withColumn("_turn", F.col("mix_block") % F.col("_share"))
     placed = placed.join(
         small(turns.drop("_share")),
         (F.col("mix_source") == F.col("_source")) & (F.col("_turn") == F.col("_nth")),

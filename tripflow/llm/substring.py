@@ -44,7 +44,7 @@ from tripflow.llm.rows import (
     unpacked,
     with_key,
 )
-from tripflow.llm.text import WORDS, WORDS2, Words, lowest_in_window, signed, texts_of
+from tripflow.llm.text import WORDS, Words, lowest_in_window, signed, texts_of
 from tripflow.session import durable
 
 SPAN = 50
@@ -72,8 +72,10 @@ def _scan(span: int, anchor: int):
             for first, data, offsets in texts_of(batch.column("text")):
                 words = Words(data, offsets)
                 graph = _Graph(words, span, anchor)
-                rows, prefix = graph.rows, graph.prefix
-                prefix2 = WORDS2.prefix(words.hashes())
+                rows = graph.rows
+                # Copies of whole texts are not held against their source again, so their digests
+                # have to tell any two texts apart, as sums of powers do not.
+                whole = np.frombuffer(b"".join(words.digests()), dtype=np.int64).reshape(-1, 2)
                 places = np.unique(graph.lowest[graph.whole])
                 counts = np.diff(np.searchsorted(places, rows))
                 starts = places - rows[:-1][graph.row[places]]
@@ -82,8 +84,8 @@ def _scan(span: int, anchor: int):
                     [
                         *(piece.column(k) for k in KEY),
                         pa.array(np.diff(rows)),
-                        pa.array(signed(WORDS.ranges(prefix, rows[:-1], rows[1:]))),
-                        pa.array(signed(WORDS2.ranges(prefix2, rows[:-1], rows[1:]))),
+                        pa.array(whole[:, 0]),
+                        pa.array(whole[:, 1]),
                         lists(counts, pa.array(signed(graph.anchors[places]))),
                         lists(counts, pa.array(starts.astype(np.int32))),
                     ],

@@ -7,6 +7,7 @@ all of them come from a few numpy passes instead of a loop over words. Arithmeti
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,7 +91,6 @@ BYTES = _roller(11)
 WORDS = _roller(23)
 #: Second, independent hashes.
 BYTES2 = _roller(37)
-WORDS2 = _roller(41)
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -129,6 +129,7 @@ class Words:
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         solid = _IS_LETTER[data] if letters else ~_IS_SPACE[data]
+        self._solid = solid
         n = len(solid)
         edge = np.zeros(n + 1, dtype=bool)
         edge[offsets] = True
@@ -147,6 +148,23 @@ class Words:
         prefix = roller.prefix(roller.letters[self.data])
         return roller.ranges(prefix, self.starts, self.ends)
 
+    def digests(self) -> list[bytes]:
+        """128-bit digest of each row's words, whatever stands between them."""
+        starts = self.starts[1:]
+        between = np.ones(len(starts), dtype=bool)
+        between[self.rows[(self.rows > 0) & (self.rows < len(self.starts))] - 1] = False
+        # One space before every word but a row's first.
+        gaps = starts[between] - 1
+        kept = self._solid.copy()
+        kept[gaps] = True
+        plain = self.data.copy()
+        plain[gaps] = 0x20
+        ends = np.concatenate([[0], np.cumsum(kept)])[self.offsets].tolist()
+        plain = plain[kept]
+        return [
+            hashlib.blake2b(plain[a:b], digest_size=16).digest() for a, b in zip(ends, ends[1:])
+        ]
+
     def joined(self, keep: np.ndarray, first: int, last: int) -> bytes:
         """The kept words from `first` up to `last`, joined by one space."""
         raw = self.data.tobytes()

@@ -14,7 +14,7 @@ Under each rule the counts of a document's sections add up to its tokens.
 
 from __future__ import annotations
 
-import base64
+import contextlib
 import functools
 from collections.abc import Callable, Iterable, Iterator
 
@@ -25,26 +25,20 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.rows import doc_id, keyed, prepare
 from tripflow.llm.text import texts_of
+from tripflow.llm.tokens import encoder, ids_of
 
 #: Vocabulary of byte-level tokens as ranks. Files of this form are on every machine.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: How texts are cut before tokens merge. Fixed value that belongs to the vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RULES = ("first", "largest", "split")
 
 
 @functools.cache
 def _encoder(vocabulary: str):
-    import tiktoken
-
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-    for token, rank in ranks.items():
-        sizes[rank] = len(token)
-    encoding = tiktoken.Encoding(
-        "vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
+    encoding = encoder(vocabulary)
+    sizes = np.zeros(encoding.max_token_value + 1, dtype=np.int64)
+    for rank in range(len(sizes)):
+        with contextlib.suppress(KeyError):  # a rank that no token has
+            sizes[rank] = len(encoding.decode_single_token_bytes(rank))
     return encoding, sizes
 
 
@@ -103,7 +97,7 @@ def token_counts(
                 for i in range(len(offsets) - 1):
                     raw = data[offsets[i] : offsets[i + 1]]
                     text = raw.tobytes().decode()
-                    tokens = np.array(encoding.encode_ordinary(text), dtype=np.int64)
+                    tokens = np.array(ids_of(encoding, text), dtype=np.int64)
                     ends = sections(raw) if len(raw) else np.zeros(1, dtype=np.int64)
                     counts = attribute(np.cumsum(sizes[tokens]), ends, rule)
                     starts = np.concatenate([[0], ends[:-1]])
