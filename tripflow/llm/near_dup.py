@@ -5,15 +5,27 @@
 2. Classes whose sketches agree in a band share a bucket. Each bucket's most central member (the
    one with most bucket mates over all bands) is compared with every other member on full sets:
    as many pairs as members, not their square. Links give components.
-3. A bucket that still spans several components is compared further, until nothing is left: its
-   members are dealt into blocks, pairs of blocks compare the sketches of members of different
-   components, and every pair that may reach the threshold is verified on full sets: the best
-   pair of each document first, the others if they are still apart after that.
+3. Buckets that still span several components hold documents that resemble each other, but not
+   enough to link: copies of one text with changes of their own, for instance, of which any two
+   agree in less than the threshold. Listing their pairs would grow with the square of such a
+   group. Instead the members around one centre are described by what sets them apart: the
+   shingles that more than half of them have are their common ground, and each member has a
+   difference from it. Two members link just if few shingles lie in only one of the two
+   differences; so, unless both differences are small, linked members share much of theirs, while
+   others share next to nothing. The differences are sketched and banded, and pairs that share a
+   band are verified on full sets. Small differences are met by comparing every member with the
+   one nearest to the common ground.
 
 No bucket is capped. What decides is always the full sets; sketches only propose. With b bands of
-r rows a pair of similarity s shares no bucket with probability (1 - s**r)**b, 2e-6 at 0.85. In
-step 3 a pair at 0.85 looks too dissimilar to be verified with probability 1e-8: so often 504
-coordinates agree six deviations less than they should.
+r rows a pair of similarity s shares no band with probability (1 - s**r)**b: 2e-6 at 0.85 in step
+2. In step 3, two differences of d shingles each, of documents of n shingles that just link, have
+a similarity of (2d - t) / (2d + t), where t is 0.16 n. The smaller they are the fewer rows their
+bands have: of pairs just at the threshold, a share of 1e-8 is lost at d = 0.24 n, 4e-4 at 0.18 n,
+5e-2 at 0.12 n, 1e-6 just below that, 6e-4 at 0.1 n; below 0.08 n all link with the nearest member
+if that has as few. Pairs above the threshold, or with another way between them, are lost less. A
+test measures what is found. Copies with changes of their own agree in 0.01 to 0.04 of their
+differences: of their pairs some thousandths are verified in vain, and a tenth of those between
+copies that nearly link.
 """
 
 from __future__ import annotations
@@ -45,33 +57,27 @@ from tripflow.session import durable
 PERCENT = 85
 ROWS = 6
 BANDS = 28
-#: Coordinates of a sketch; the first ROWS * BANDS make the bands, all of them the estimates.
-COORDINATES = 504
-#: Rounds in which each member of an unresolved bucket is compared with the most similar other.
-BEST_ROUNDS = 2
-#: Members of a block of an unresolved bucket.
-BLOCK = 64
-#: Standard deviations by which a sketch may understate the similarity of a pair.
-SLACK = 6.0
+#: Coordinates of the sketch of a difference in step 3, and rows of its bands: all differences have
+#: bands of the first number of rows, those below the percentages of the document's shingles also
+#: of the others. Each kind of band uses all coordinates.
+APART_COORDINATES = 1200
+APART_ROWS = {100: 4, 20: 3, 12: 2}
 
 
-def _scan(shingle: int, rows: int, n_bands: int, coordinates: int):
+def _scan(shingle: int, rows: int, n_bands: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher(coordinates)
+        sketcher = Sketcher(rows * n_bands)
         for batch in batches:
             for first, data, offsets in texts_of(batch.column("text")):
                 sets = shingle_sets(Words(data, offsets, lower=True), shingle)
-                set1, set2, keys, prints = [], [], [], []
+                set1, set2, keys = [], [], []
                 for elements in sets:
                     set1.append(int(mix(elements).sum(dtype=np.uint64)))
                     set2.append(int(mix(elements ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)))
                     if len(elements):
-                        sketch = sketcher.sketch(elements)
-                        keys.append(bands(sketch[: rows * n_bands], rows))
-                        prints.append(mix(sketch).astype(np.uint8).tobytes())
+                        keys.append(bands(sketcher.sketch(elements), rows))
                     else:
                         keys.append(np.zeros(0, dtype=np.uint64))
-                        prints.append(b"")
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
                 piece = batch.slice(first, len(sets))
                 yield pa.RecordBatch.from_arrays(
@@ -81,9 +87,8 @@ def _scan(shingle: int, rows: int, n_bands: int, coordinates: int):
                         pa.array(signed(np.array(set1, dtype=np.uint64))),
                         pa.array(signed(np.array(set2, dtype=np.uint64))),
                         lists(np.array([len(k) for k in keys]), pa.array(signed(flat))),
-                        pa.array(prints, pa.binary()),
                     ],
-                    names=[*KEY, "n", "set1", "set2", "bands", "print"],
+                    names=[*KEY, "n", "set1", "set2", "bands"],
                 )
 
     return scan
@@ -107,38 +112,27 @@ def _sets(shingle: int):
     return sets
 
 
-def _plausible(least: float, percent: int):
-    """Pairs of one pair of blocks that are in different components and may be similar enough."""
-
-    def compare(table: pa.Table) -> pa.Table:
-        d = table.to_pandas()
-        prints = np.frombuffer(b"".join(d["print"]), dtype=np.uint8).reshape(len(d), -1)
-        sizes, blocks = d["n"].to_numpy(), d["block"].to_numpy()
-        labels = d["label"].map(lambda x: tuple(x[k] for k in KEY)).factorize()[0]
-        left = np.flatnonzero(blocks == d["low"].iloc[0])
-        right = np.flatnonzero(blocks == d["high"].iloc[0])
-        pairs = []
-        for i in left.tolist():
-            ok = labels[right] != labels[i]
-            ok &= 100 * np.minimum(sizes[right], sizes[i]) >= percent * np.maximum(sizes[right], sizes[i])
-            others = right[ok]
-            agree = (prints[others] == prints[i]).mean(axis=1)
-            pairs += [(i, int(j), float(s)) for j, s in zip(others, agree) if s >= least]
-        out = {f"{end}_{k}": [] for end in "ab" for k in KEY} | {"agree": []}
-        for i, j, s in pairs:
-            a, b = sorted(tuple(x[k] for k in KEY) for x in (d["v"].iloc[i], d["v"].iloc[j]))
-            for name, value in zip(out, (*a, *b, s)):
-                out[name].append(value)
-        kinds = [*[pa.int64(), pa.int32(), pa.int64()] * 2, pa.float64()]
-        return pa.table([pa.array(x, k) for x, k in zip(out.values(), kinds)], names=list(out))
-
-    return compare
-
-
-def least_agreement(percent: int, coordinates: int) -> float:
-    """Share of equal coordinates below which a pair is taken to miss the threshold."""
-    share = percent / 100
-    return share - SLACK * (share * (1 - share) / coordinates) ** 0.5
+def _apart_bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bands of each row's `apart`, in its place."""
+    sketcher = Sketcher(APART_COORDINATES)
+    for batch in batches:
+        column, sizes = batch.column("apart"), batch.column("n").to_pylist()
+        offsets = column.offsets.to_numpy()
+        flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        keys, ends, taken = [np.zeros(0, dtype=np.uint64)], [0], 1
+        for a, b, n in zip(offsets.tolist(), offsets[1:].tolist(), sizes):
+            if a < b:
+                sketch = sketcher.sketch(flat[a:b])
+                for percent, size in APART_ROWS.items():
+                    if percent == 100 or 100 * (b - a) < percent * n:
+                        keys.append(bands(sketch, size))
+            ends.append(ends[-1] + sum(map(len, keys[taken:])))
+            taken = len(keys)
+        held = lists(np.diff(ends), pa.array(signed(np.concatenate(keys))))
+        rest = [n for n in batch.schema.names if n != "apart"]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in rest), held], names=[*rest, "bands"]
+        )
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -159,16 +153,97 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int, coordinates: int) -> DataFrame:
-    """Links enough to connect whatever the links of all pairs would connect.
+_VERTEX = f"struct<{', '.join(x.replace(' ', ':') for x in KEY_TYPES.split(', '))}>"
+
+
+def _pairs(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
 
-    `members`: bucket, v, n, print, mates (members of the bucket).
+def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of members of one group, of different components, that may link.
+
+    `groups`: centre, v, n, label; `sets`: v, elements.
+    """
+    held = durable(groups.join(sets, "v"), "grouped")
+    shingles = held.select("centre", F.explode("elements").alias("x"))
+    sizes = held.groupBy("centre").agg(F.count(F.lit(1)).alias("members"))
+    # What more than half of the members have is no more than twice a member's set on average.
+    common = (
+        shingles.groupBy("centre", "x")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .join(sizes, "centre")
+        .where(2 * F.col("times") > F.col("members"))
+        .groupBy("centre")
+        .agg(F.collect_list("x").alias("common"))
+    )
+    ground = F.coalesce("common", F.array().cast("array<long>"))
+    apart = F.array_union(F.array_except("elements", ground), F.array_except(ground, "elements"))
+    away = durable(
+        held.join(common, "centre", "left").select("centre", "v", "n", "label", apart.alias("apart")),
+        "apart",
+    )
+    nearest = away.groupBy("centre").agg(
+        F.min_by(F.struct("v", "n", "label"), F.struct(F.size("apart"), "v")).alias("o")
+    )
+    stars = (
+        away.join(nearest, "centre")
+        .where((F.col("label") != F.col("o.label")) & _close("n", "o.n", percent))
+        .select(*_pairs("v", "o.v"))
+    )
+    # From here on centre and component are 64-bit hashes, for there is a row for every band.
+    rows = away.select(
+        F.xxhash64("centre").alias("centre"), "v", "n", F.xxhash64("label").alias("label"), "apart"
+    )
+    banded = rows.mapInArrow(
+        _apart_bands, f"centre long, v {_VERTEX}, n long, label long, bands array<long>"
+    )
+    band = F.transform("bands", lambda x: F.xxhash64("centre", x))
+    entries = durable(banded.select("v", "n", "label", F.explode(band).alias("band")), "entries")
+    # Most bands hold one member, and many one component.
+    mixed = (
+        entries.groupBy("band")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low != high")
+        .select("band")
+    )
+    entries = durable(entries.join(mixed, "band"), "mixed-entries")
+    other = entries.select(
+        "band", F.col("v").alias("w"), F.col("n").alias("m"), F.col("label").alias("l")
+    )
+    met = entries.join(other, "band").where("v < w AND label != l")
+    return met.where(_close("n", "m", percent)).select(*_pairs("v", "w")).union(stars).distinct()
+
+
+def _tops(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """c, top: where each centre ends that moves on to the most central one of its own buckets."""
+    reached = centres.select("bucket", F.col("centre.v").alias("w"), "reach")
+    own = centres.select(F.col("centre.v").alias("v")).distinct()
+    best = F.max_by("w", F.struct("reach", "w")).alias("top")
+    tops = members.join(own, "v").join(reached, "bucket").groupBy(F.col("v").alias("c")).agg(best)
+    tops = durable(tops, "tops")
+    while True:
+        onward = tops.select(F.col("c").alias("top"), F.col("top").alias("next"))
+        after = durable(
+            tops.join(onward, "top").select("c", F.col("next").alias("top"), (F.col("next") != F.col("top")).alias("moved")),
+            "tops",
+        )
+        tops = after.select("c", "top")
+        if after.where("moved").isEmpty():
+            return tops
+
+
+def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links enough to connect what the links of all pairs would connect.
+
+    `members`: bucket, v, n, mates (members of the bucket).
     """
     central = members.groupBy("v").agg(F.sum("mates").alias("reach"))
     ranked = members.join(durable(central, "reach"), "v")
     centres = durable(
         ranked.groupBy("bucket").agg(
-            F.min_by(F.struct("v", "n"), F.struct(-F.col("reach"), "v")).alias("centre")
+            F.max_by(F.struct("v", "n"), F.struct("reach", "v")).alias("centre"),
+            F.max("reach").alias("reach"),
         ),
         "centres",
     )
@@ -177,9 +252,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, coordinates: int)
         members.join(centres, "bucket")
         .where(F.col("v") != F.col("centre.v"))
         .where(_close("n", "centre.n", percent))
-        .select(
-            F.least("v", "centre.v").alias("a"), F.greatest("v", "centre.v").alias("b")
-        )
+        .select(*_pairs("v", "centre.v"))
         .distinct()
     )
     stars = durable(stars, "stars")
@@ -195,51 +268,20 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, coordinates: int)
         .select("bucket"),
         "mixed",
     )
-    spread = (
+    # Buckets around the same members have several centres; groups are made around the last of them.
+    tops = _tops(members, centres)
+    groups = (
         open_members.join(mixed, "bucket")
-        .withColumn("blocks", F.ceil(F.col("mates") / BLOCK))
-        .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-    )
-    least = least_agreement(percent, coordinates)
-    pairs = (
-        spread.select("bucket", "low", "high", "block", "v", "n", "print", "label")
-        .groupBy("bucket", "low", "high")
-        .applyInArrow(
-            _plausible(least, percent),
-            "a_ord long, a_tkey int, a_tsum long, b_ord long, b_tkey int, b_tsum long, agree double",
-        )
-        .select(
-            F.struct(*[F.col(f"a_{k}").alias(k) for k in KEY]).alias("a"),
-            F.struct(*[F.col(f"b_{k}").alias(k) for k in KEY]).alias("b"),
-            "agree",
-        )
-        .groupBy("a", "b")
-        .agg(F.max("agree").alias("agree"))
+        .join(centres.select("bucket", F.col("centre.v").alias("c")), "bucket")
+        .join(tops, "c")
+        .select(F.col("top").alias("centre"), "v", "n", "label")
+        .distinct()
     )
-    pairs = durable(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    if pairs.isEmpty():
+    groups = durable(groups, "groups")
+    if groups.isEmpty():
         return links
-
-    def apart(left: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components by now."""
-        of = labels.select("v", "label")
-        met = left.join(of.select(F.col("v").alias("a"), F.col("label").alias("la")), "a", "left")
-        met = met.join(of.select(F.col("v").alias("b"), F.col("label").alias("lb")), "b", "left")
-        return met.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "agree")
-
-    # As many pairs as members each time; most of what is apart meets here.
-    for _ in range(BEST_ROUNDS):
-        best = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        best = durable(best, "best")
-        links = durable(links.union(_verified(best, sets, percent)), "links")
-        labels = components(links)
-        pairs = durable(apart(pairs.join(best, ["a", "b"], "left_anti")), "pairs")
-        if pairs.isEmpty():
-            return links
-    return links.union(_verified(pairs.select("a", "b"), sets, percent))
+    pairs = durable(_apart(groups, sets, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    return links.union(_verified(pairs, sets, percent))
 
 
 def near_duplicates(
@@ -248,7 +290,6 @@ def near_duplicates(
     shingle: int = SHINGLE,
     rows: int = ROWS,
     n_bands: int = BANDS,
-    coordinates: int = COORDINATES,
 ) -> DataFrame:
     """doc_id, tkey, tsum, n_shingles, component_id, first: one row for each row of `docs`.
 
@@ -263,8 +304,8 @@ def near_duplicates(
     keys = keyed(docs)
     scanned = durable(
         keys.mapInArrow(
-            _scan(shingle, rows, n_bands, max(coordinates, rows * n_bands)),
-            f"{KEY_TYPES}, n long, set1 long, set2 long, bands array<long>, print binary",
+            _scan(shingle, rows, n_bands),
+            f"{KEY_TYPES}, n long, set1 long, set2 long, bands array<long>",
         ),
         "sketches",
     )
@@ -278,7 +319,7 @@ def near_duplicates(
     # A row without words is a class of its own.
     placed = scanned.withColumn("own", F.struct(*KEY)).join(firsts, same, "left")
     placed = placed.withColumn("v", F.coalesce("v", "own"))
-    heads = placed.where("n > 0 AND v = own").select("v", "n", "bands", "print").dropDuplicates(["v"])
+    heads = placed.where("n > 0 AND v = own").select("v", "n", "bands").dropDuplicates(["v"])
     heads = durable(heads, "heads")
     entries = heads.select("v", "n", F.explode("bands").alias("bucket"))
     counts = durable(
@@ -294,9 +335,7 @@ def near_duplicates(
         .select(F.struct(*KEY).alias("v"), "elements"),
         "sets",
     )
-    prints = heads.select("v", "print").join(wanted.select(F.struct(*KEY).alias("v")), "v")
-    members = members.join(prints, "v")
-    links = _links(members, sets, percent, max(coordinates, rows * n_bands))
+    links = _links(members, sets, percent)
     labels = components(links)
     final = placed.select("v", *KEY, "n").join(durable(labels, "final"), "v", "left")
     label = F.coalesce("label", "v")
