@@ -80,3 +80,17 @@ def test_a_source_without_weight_is_named(spark):
     with pytest.raises(PySparkException, match="no weight for source b"):
         mix_sources(docs, weights).collect()
     assert mix_sources(docs, source_weights(docs)).count() == 20
+
+
+def test_a_sieve_loses_nothing_that_is_wanted(spark, monkeypatch):
+    from tripflow.llm import rows
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3000)] + [(None, None)], SCHEMA)
+    keys = rows.keyed(docs)
+    wanted = keys.where("ord % 10 = 0 OR text = ''").select(*rows.KEY)
+    for bits in (1 << 24, 1 << 10):
+        monkeypatch.setattr(rows, "SIEVE_BITS", bits)
+        passed = rows.sieved(keys, wanted)
+        assert passed.join(wanted, rows.KEY).count() == 301
+        assert passed.count() < (310 if bits > 5000 else 3001)
+    assert rows.sieved(keys, wanted.limit(0)).count() == 0

@@ -34,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ from tripflow.llm.rows import (
     lists,
     packed,
     prepare,
+    sieved,
     unpacked,
     with_key,
 )
@@ -327,16 +329,20 @@ def near_duplicates(
     )
     members = durable(entries.join(counts, "bucket"), "members")
     wanted = durable(members.select("v.*").distinct(), "wanted")
-    sets = durable(
-        packed(keys)
+    found = durable(
+        packed(sieved(keys, wanted))
         .join(wanted, KEY)
         .dropDuplicates(KEY)
         .mapInArrow(_sets(shingle), f"{KEY_TYPES}, elements array<long>")
         .select(F.struct(*KEY).alias("v"), "elements"),
         "sets",
     )
+    # Several joins on v follow; dealt out once, the sets stay where they are.
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = found.repartition(width, "v").persist(StorageLevel.DISK_ONLY)
     links = _links(members, sets, percent)
     labels = components(links)
+    sets.unpersist()
     final = placed.select("v", *KEY, "n").join(durable(labels, "final"), "v", "left")
     label = F.coalesce("label", "v")
     return final.select(
