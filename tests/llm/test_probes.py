@@ -1,12 +1,16 @@
 """Inputs that once gave wrong results or ended a task."""
 
+import time
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripflow.llm import tokencount
 from tripflow.llm.substring import substring_dedup
 from tripflow.llm.text import Words, texts_of
 from tripflow.llm.tokencount import token_counts
+from tripflow.llm.urls import candidates, intervals, judge, shapes
 
 SCHEMA = "doc_id long, text string"
 
@@ -94,3 +98,36 @@ def test_a_sieve_loses_nothing_that_is_wanted(spark, monkeypatch):
         assert passed.join(wanted, rows.KEY).count() == 301
         assert passed.count() < (310 if bits > 5000 else 3001)
     assert rows.sieved(keys, wanted.limit(0)).count() == 0
+
+
+def test_urls_of_very_many_parts(spark):
+    """A URL of 10 MB and hosts of thousands of labels; the list decides how much is asked for."""
+    parts, labels = 100_000, 3_000
+    long = "http://a.b.example.com/" + "/".join(f"p{i % 7}" for i in range(parts)) + "/" + "x" * 9_000_000
+    wide = "http://" + ".".join(["l"] * labels) + ".bad.org/en/x"
+    deep = "example.com/" + "/".join(f"p{i % 7}" for i in range(300))
+    listed = [(deep, "deep"), ("example.com/p0", "top"), ("bad.org/en", "org"), ("b.example.com/q", "no")]
+    actions = spark.createDataFrame(
+        [(e, c, "add", "2024-01-01 00:00:00") for e, c in listed],
+        "entry string, category string, action string, at string",
+    ).withColumn("at", F.to_timestamp("at"))
+    urls = [(1, long), (2, wide), (3, "http://example.com/p0/p1"), (4, "http://bad.org/")]
+    captures = spark.createDataFrame(
+        [(i, u, "2024-01-02 00:00:00") for i, u in urls], "page_id long, url string, fetched_at string"
+    ).withColumn("fetched_at", F.to_timestamp("fetched_at"))
+    assert shapes(intervals(actions)) == ([2, 3], [1, 300])
+    began = time.monotonic()
+    found = {r.page_id: r.categories for r in judge(captures, actions).collect()}
+    assert found == {1: ["deep", "top"], 2: ["org"], 3: ["top"], 4: []}
+    assert time.monotonic() - began < 60
+
+
+def test_asking_by_shape_loses_no_entry(spark):
+    urls = ["http://a.b.c.d/1/2/3/4", "http://x.y", "https://c.d/1//2", "http://.d/1", None]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string")
+    every = [set(r.entries) for r in candidates(rows).collect()]
+    listed = spark.createDataFrame([("c.d/1/2",), ("d",), ("b.c.d/1/2/3/4",), ("y",)], "entry string")
+    some = [set(r.entries) for r in candidates(rows, "url", *shapes(listed)).collect()]
+    wanted = {r.entry for r in listed.collect()}
+    assert [e & wanted for e in every] == [e & wanted for e in some]
+    assert all(s <= e for e, s in zip(every, some)) and sum(map(len, some)) < sum(map(len, every))

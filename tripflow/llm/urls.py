@@ -5,14 +5,18 @@ intervals of validity, and a capture is judged by the entries in force at its fe
 today's list. An entry is a host or a parent domain ("example.com" covers "www.example.com"), with
 or without the start of a path after it ("example.com/en").
 
-A capture has as many candidate entries as its host has parent domains times its path has leading
-parts; each is an equality, so the join needs no range condition beyond the dates. Both sides are
+A capture's candidate entries are its parent domains, each with the leading parts of its path; each
+is an equality, so the join needs no range condition beyond the dates. Only domains of as many
+labels, and paths of as many parts, as some listed entry has are asked for: the numbers that occur
+come from the list, so a URL with thousands of parts gives few candidates. Both sides are
 plain shuffles, which adaptive execution splits for hosts that hold a large share of all captures.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Collection
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.session import durable
@@ -41,36 +45,61 @@ def intervals(actions: DataFrame) -> DataFrame:
     )
 
 
-def candidates(urls: DataFrame, url: str = "url") -> DataFrame:
+def shapes(entries: DataFrame) -> tuple[list[int], list[int]]:
+    """Numbers of labels of the domains in `entries`, and of path parts: all that occur."""
+    slashes = F.size(F.split("entry", "/")) - 1
+    dots = F.size(F.split(F.substring_index("entry", "/", 1), r"\.")) - 1
+    row = entries.agg(
+        F.sort_array(F.collect_set(dots + 1)).alias("labels"),
+        F.sort_array(F.collect_set(slashes)).alias("parts"),
+    ).first()
+    return list(row["labels"]), list(row["parts"])
+
+
+def _occurring(numbers: Collection[int] | None, first: int, most: Column) -> Column:
+    """The numbers from `first` to `most`; with `numbers`, those among them."""
+    if numbers is None:
+        return F.when(most >= first, F.sequence(F.lit(first), most)).otherwise(F.array().cast("array<int>"))
+    listed = F.array(*(F.lit(int(n)) for n in numbers)).cast("array<int>")
+    return F.filter(listed, lambda n: (n >= first) & (n <= most))
+
+
+def candidates(
+    urls: DataFrame,
+    url: str = "url",
+    labels: Collection[int] | None = None,
+    parts: Collection[int] | None = None,
+) -> DataFrame:
     """`urls` with `entries`: every list entry that would cover the URL.
 
-    Scheme, user, port, query and fragment do not matter; hosts compare in lower case and without a
-    final dot. A missing URL, or one without a host, has none.
+    With `labels` and `parts` (see `shapes`), only entries whose domain has as many labels, and whose
+    path has as many parts. Scheme, user, port, query and fragment do not matter; hosts compare in
+    lower case and without a final dot. A missing URL, or one without a host, has none.
     """
     rest = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^?#\s]*)", 1)
     host = F.lower(
         F.regexp_replace(F.regexp_extract(rest, r"^(?:[^/@]*@)?([^/:]*)", 1), r"\.+$", "")
     )
     path = F.lower(F.regexp_extract(rest, r"^[^/]*(/.*)$", 1))
-    labels = F.split("_host", r"\.")
-    parts = F.filter(F.split("_path", "/"), lambda p: p != "")
+    names = F.split(host, r"\.")
+    steps = F.filter(F.split(path, "/"), lambda p: p != "")
     domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.reverse(_occurring(labels, 1, F.size("_labels"))),
+        lambda n: F.array_join(F.slice("_labels", F.size("_labels") - n + 1, n), "."),
     )
     heads = F.transform(
-        F.sequence(F.lit(0), F.size(parts)),
+        _occurring(parts, 0, F.size("_parts")),
         lambda n: F.when(n == 0, F.lit("")).otherwise(
-            F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"))
+            F.concat(F.lit("/"), F.array_join(F.slice("_parts", F.lit(1), n), "/"))
         ),
     )
     every = F.flatten(F.transform(domains, lambda d: F.transform(heads, lambda h: F.concat(d, h))))
     return (
-        urls.withColumns({"_host": host, "_path": path})
+        urls.withColumns({"_host": host, "_labels": names, "_parts": steps})
         .withColumn(
             "entries", F.when(F.col("_host") != "", every).otherwise(F.array().cast("array<string>"))
         )
-        .drop("_host", "_path")
+        .drop("_host", "_labels", "_parts")
     )
 
 
@@ -84,7 +113,8 @@ def judge(captures: DataFrame, actions: DataFrame) -> DataFrame:
     """
     spans = durable(intervals(actions), "intervals")
     rows = captures.select("page_id", "url", "fetched_at").distinct()
-    asked = candidates(rows).select("page_id", "url", "fetched_at", F.explode("entries").alias("entry"))
+    labels, parts = shapes(spans)
+    asked = candidates(rows, "url", labels, parts).select("page_id", "url", "fetched_at", F.explode("entries").alias("entry"))
     active = (F.col("valid_from") <= F.col("fetched_at")) & (
         F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to"))
     )
