@@ -20,11 +20,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, name: str, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, text, label of at most about `sample` rows that may be learnt from.
+    """doc_id, text, label of at most `sample` rows that may be learnt from.
 
     Chosen by the hash of doc_id among all labelled ones, so the choice does not depend on the
     order or split of the input. Missing labels and ids are left out; of several labels of one
-    document the highest counts.
+    document the highest counts, and of several texts of one id the one of the lowest hash.
     """
     known = (
         labels.where(F.col(name).isNotNull() & F.col("doc_id").isNotNull())
@@ -36,4 +36,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, name: str, sample: int = S
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     # At most `sample` rows of two numbers.
     met = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"])
-    return met.select("doc_id", "text", "label")
+    # Tasks keep one text of an id each, so an id on very many rows sends few of them.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return met.groupBy("doc_id", "label").agg(first).select("doc_id", "first.text", "label")
