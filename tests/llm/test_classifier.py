@@ -1,0 +1,94 @@
+"""Word vectors and pooling against plain loops; repeated ids and odd texts."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.llm import classifier
+from tripflow.llm.text import texts_of
+
+TOKEN = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff \t\n\x0b\x0c\r]+")
+
+
+def bucket_of(token):
+    """Through the library's hash, one token alone."""
+    data = np.frombuffer(token.encode(), dtype=np.uint8)
+    found, _ = classifier.buckets(data, np.array([0, len(data)]))
+    assert len(found) == 1
+    return int(found[0])
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in ("Wo", "be", "\u00e9t", "X", "9") for b in ("rd", "an", "2", "\u00fc")]
+    words += ["...", "?!?!?!", "?!?!?", "NATO", "NASA", "a", "I", ",", "-" * 30, "-" * 29 + "="]
+    out = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(120)]
+    out += ["", None, "\n\t ", "a", "word,word;word", "a\u3000b", "x " * 5000, out[0]]
+    # More different words than are pooled at once.
+    return [*out, " ".join(f"n{i}" for i in range(classifier.ROWS + 500))]
+
+
+def test_tokens_are_those_of_a_plain_pattern(texts):
+    column = pa.array(texts, pa.string())
+    for first, data, offsets in texts_of(column):
+        tokens, rows = classifier.buckets(data, offsets)
+        for i in range(len(offsets) - 1):
+            wanted = [bucket_of(t) for t in TOKEN.findall(texts[first + i] or "")[:400]]
+            assert tokens[rows[i] : rows[i + 1]].tolist()[:400] == wanted
+    # Runs of signs count whole; kinds of words do not share buckets; case folds otherwise.
+    assert bucket_of("-" * 30) != bucket_of("-" * 29 + "=")
+    words = classifier.BUCKETS - classifier.SIGNS - classifier.CAPITALS
+    assert bucket_of("Word") == bucket_of("word") < words <= bucket_of("?!") < words + classifier.SIGNS
+    assert words + classifier.SIGNS <= bucket_of("NATO") < classifier.BUCKETS
+
+
+def test_vectors_against_a_plain_loop(spark, texts):
+    places, signs = classifier.index_vectors()
+    sums = {}
+    for text in texts:
+        tokens = [bucket_of(t) for t in TOKEN.findall(text or "")]
+        for i, word in enumerate(tokens):
+            for j in range(max(0, i - classifier.CONTEXT), min(len(tokens), i + classifier.CONTEXT + 1)):
+                if i != j:
+                    vector = sums.setdefault(word, np.zeros(classifier.WIDTH))
+                    for k in range(classifier.NONZERO):
+                        vector[places[tokens[j], k]] += signs[tokens[j], k]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.repartition(7).withColumn("bucket", F.lit("clash"))
+    vectors = classifier.word_vectors(docs)
+    assert vectors.dtype == np.float32
+    for word, vector in sums.items():
+        length = np.linalg.norm(vector)
+        assert np.allclose(vectors[word], vector / length if length else vector, atol=1e-6)
+    assert set(np.flatnonzero(vectors.any(axis=1)).tolist()) <= set(sums)
+
+    column = pa.array(texts, pa.string())
+    found = np.concatenate([classifier.pooled(vectors, d, o) for _, d, o in texts_of(column)])
+    for i, text in enumerate(texts):
+        tokens = [bucket_of(t) for t in TOKEN.findall(text or "")]
+        size = max(1, len(tokens))
+        mean = sum((vectors[t].astype(float) for t in tokens), np.zeros(classifier.WIDTH)) / size
+        spread = sum(tokens.count(t) ** 2 for t in set(tokens)) ** 0.5 / size if len(tokens) < 9000 else len(
+            tokens
+        ) ** 0.5 / size
+        wanted = [*mean, np.linalg.norm(mean), spread, np.log1p(len(tokens))]
+        if len(tokens) < 9000:
+            assert np.allclose(found[i], wanted, atol=1e-6)
+        else:
+            # All words differ but for shared buckets.
+            assert np.allclose(found[i][: classifier.WIDTH], mean, atol=1e-6)
+            assert found[i][-2] >= spread
+
+
+def test_no_text_at_all(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert not classifier.word_vectors(none).any()
+    empty = np.zeros(0, dtype=np.uint8)
+    assert classifier.pooled(classifier.word_vectors(none), empty, np.array([0, 0])).tolist() == [
+        [0.0] * (classifier.WIDTH + 3)
+    ]

@@ -1,9 +1,10 @@
 """Quality classifier: random-indexing word vectors, pooled, and a small calibrated network.
 
 Random indexing: every word has a fixed sparse random index vector; a word's vector is the sum of
-the index vectors of the words around it, over all occurrences in the corpus. Words share a fixed
-number of hashed buckets (runs of signs, and words all in capitals, have buckets of their own), so
-the vectors are a matrix of known size: each task sums its own, Spark adds them up by bucket.
+the index vectors of the words around it, over all occurrences in the corpus. Words are told apart
+by hash in a fixed number of buckets (runs of signs, and words all in capitals, have buckets of
+their own), so the vectors are a matrix of known size (25 MB): each task sums those of its own
+words, Spark adds them up by bucket, and scoring gets the matrix as a broadcast.
 
 A document is the mean of its words' vectors and the length of that mean, which grows as a text
 repeats itself. A two-layer network in numpy, trained on a bounded sample of labelled rows, gives
@@ -25,14 +26,17 @@ from tripflow.llm.rows import doc_id, keyed, prepare, text_of
 from tripflow.llm.text import BYTES, mix, texts_of
 from tripflow.session import durable
 
-BUCKETS = 2048
-#: Buckets for runs of signs and for words in capitals.
-SIGNS, CAPITALS = 64, 16
+BUCKETS = 1 << 17
+#: Of these, buckets for runs of signs and for words in capitals. The latter are few, as capitals
+#: tell more than which word is in them.
+SIGNS, CAPITALS = 1 << 12, 16
 WIDTH = 48
 NONZERO = 4
 #: Words to each side that count as context.
 CONTEXT = 2
 HIDDEN = 24
+#: Vectors worked on, or given out, at once.
+ROWS = 1 << 14
 
 _KIND = np.full(256, 2, dtype=np.uint8)
 _KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
@@ -48,7 +52,7 @@ _LOWER[65:91] += 32
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the non-zero values of each bucket's index vector."""
     draws = mix(np.arange(1, BUCKETS * NONZERO + 1, dtype=np.uint64)).reshape(BUCKETS, NONZERO)
-    return (draws % np.uint64(WIDTH)).astype(np.int64), np.where(draws >> np.uint64(63), 1.0, -1.0)
+    return (draws % np.uint64(WIDTH)).astype(np.int64), np.where(draws >> np.uint64(63), 1, -1)
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +67,6 @@ def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     solid = kind[starts] > 0 if len(starts) else np.zeros(0, dtype=bool)
     starts, ends = starts[solid], ends[solid]
     sign = kind[starts] == 2
-    ends = np.where(sign, np.minimum(ends, starts + 3), ends)
     hashes = BYTES.ranges(BYTES.prefix(BYTES.letters[_LOWER[data]]), starts, ends)
     small = np.concatenate([[0], np.cumsum(_SMALL[data])])
     large = np.concatenate([[0], np.cumsum(_LARGE[data])])
@@ -77,7 +80,7 @@ def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _context_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
-    total = np.zeros(BUCKETS * WIDTH)
+    total = np.zeros(BUCKETS * WIDTH, dtype=np.int64)
     for batch in batches:
         for _, data, offsets in texts_of(batch.column("text")):
             tokens, rows = buckets(data, offsets)
@@ -87,42 +90,51 @@ def _context_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 left, right = tokens[near], tokens[near + gap]
                 for word, other in ((left, right), (right, left)):
                     for k in range(NONZERO):
-                        total += np.bincount(
-                            word * WIDTH + places[other, k],
-                            weights=signs[other, k],
-                            minlength=BUCKETS * WIDTH,
-                        )
+                        np.add.at(total, word * WIDTH + places[other, k], signs[other, k])
     vectors = total.reshape(BUCKETS, WIDTH)
     seen = np.flatnonzero(vectors.any(axis=1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(seen.astype(np.int32)), *(pa.array(vectors[seen, k]) for k in range(WIDTH))],
-        names=["bucket", *(f"v{k}" for k in range(WIDTH))],
-    )
+    for first in range(0, len(seen), ROWS):
+        some = seen[first : first + ROWS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), *(pa.array(vectors[some, k]) for k in range(WIDTH))],
+            names=["bucket", *(f"v{k}" for k in range(WIDTH))],
+        )
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Vectors of all buckets over the whole corpus: a matrix of fixed size."""
     prepare(docs.sparkSession)
     names = [f"v{k}" for k in range(WIDTH)]
-    schema = "bucket int, " + ", ".join(f"{n} double" for n in names)
+    schema = "bucket int, " + ", ".join(f"{n} long" for n in names)
     sums = docs.select(text_of().alias("text")).mapInArrow(_context_sums, schema)
-    sums = sums.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))
-    out = np.zeros((BUCKETS, WIDTH))
-    for row in sums.collect():
-        out[row[0]] = row[1:]
+    # At most BUCKETS rows of WIDTH numbers.
+    table = sums.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
+    out = np.zeros((BUCKETS, WIDTH), dtype=np.float32)
+    place = table.column("bucket").to_numpy()
+    for k, name in enumerate(names):
+        out[place, k] = table.column(name).to_numpy()
     lengths = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(lengths > 0, lengths, 1)
+    return out / np.where(lengths > 0, lengths, np.float32(1))
 
 
 def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One row per text: mean vector, its length, and the logarithm of the number of tokens."""
+    """One row per text: mean vector, its length, how words repeat, logarithm of their number."""
     tokens, rows = buckets(data, offsets)
     n = len(rows) - 1
     sizes = np.diff(rows)
     row = np.repeat(np.arange(n), sizes)
-    counts = np.bincount(row * BUCKETS + tokens, minlength=n * BUCKETS).reshape(n, BUCKETS)
-    means = counts @ vectors / np.maximum(1, sizes)[:, None]
-    spread = np.sqrt((counts.astype(float) ** 2).sum(axis=1)) / np.maximum(1, sizes)
+    # Different words of each text, with their counts.
+    words, counts = np.unique(row * BUCKETS + tokens, return_counts=True)
+    owner, words = words // BUCKETS, words % BUCKETS
+    means = np.zeros((n, WIDTH))
+    for first in range(0, len(words), ROWS):
+        part = slice(first, first + ROWS)
+        starts = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        weighted = vectors[words[part]].astype(np.float64) * counts[part, None]
+        means[owner[part][starts]] += np.add.reduceat(weighted, starts, axis=0)
+    means /= np.maximum(1, sizes)[:, None]
+    squares = np.bincount(owner, weights=counts.astype(float) ** 2, minlength=n)
+    spread = np.sqrt(squares) / np.maximum(1, sizes)
     return np.column_stack([means, np.linalg.norm(means, axis=1), spread, np.log1p(sizes)])
 
 
@@ -187,7 +199,10 @@ def fit(x: np.ndarray, y: np.ndarray, epochs: int = 60, seed: int = 7) -> Networ
 
 
 def _pooled(rows: DataFrame, vectors: np.ndarray, carry: list[str], schema: str, net: Network | None):
+    shared = rows.sparkSession.sparkContext.broadcast(vectors)
+
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = shared.value
         for batch in batches:
             for first, data, offsets in texts_of(batch.column("text")):
                 x = pooled(vectors, data, offsets)
