@@ -42,6 +42,10 @@ WALKS = 3
 SAMPLED = 2
 #: Characters of items in one block.
 BLOCK_CHARS = 20_000_000
+#: Windows that walk at once, places looked up at once, and words of a text verified at once.
+WALKED = 1 << 13
+LOOKED = 1 << 18
+VERIFIED = 1 << 18
 _NONE = np.uint64(0)
 
 
@@ -155,51 +159,87 @@ class Items:
         self.bases = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         self.turns = {m: repetitions(m, recall) for m in set(self.sizes[self.sizes > 0].tolist())}
 
-    def _placed(self, tokens: np.ndarray, rows: np.ndarray):
-        """Windows (row, item, first word) that hold a piece of the item at its place."""
+    def _placed(self, prefix: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Windows (row, item, first word) that hold a piece of the item at its place, in order."""
+        # The furthest that a window starts before its row's words, and the span of all starts.
+        before = int(self.sizes.max())
+        span = before + len(prefix)
         ends = np.repeat(rows[1:], np.diff(rows))
-        prefix = WORDS.prefix(tokens)
-        out = []
+        out = [np.zeros(0, dtype=np.int64)]
         for width, (hashes, numbers, offsets, bits) in self.pieces.items():
             grams = WORDS.windows(prefix, width)
             near = np.flatnonzero(bits[grams & np.uint64((1 << 20) - 1)])
             near = near[near + width <= ends[near]]
-            first = np.searchsorted(hashes, grams[near], side="left")
-            count = np.searchsorted(hashes, grams[near], side="right") - first
-            places = np.repeat(near, count)
-            entry = np.repeat(first, count) + np.arange(len(places)) - np.repeat(np.cumsum(count) - count, count)
-            if len(places):
+            for at in range(0, len(near), LOOKED):
+                some = near[at : at + LOOKED]
+                first = np.searchsorted(hashes, grams[some], side="left")
+                count = np.searchsorted(hashes, grams[some], side="right") - first
+                places = np.repeat(some, count)
+                entry = np.repeat(first, count) + np.arange(len(places))
+                entry -= np.repeat(np.cumsum(count) - count, count)
                 row = np.searchsorted(rows, places, side="right") - 1
-                out.append(np.stack([row, numbers[entry], places - offsets[entry]], axis=1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), dtype=np.int64)
+                pair = row * len(self.items) + numbers[entry]
+                out.append(np.unique(pair * span + (places - offsets[entry] + before)))
+        found = np.unique(np.concatenate(out))
+        pair, start = found // span, found % span - before
+        return np.stack([pair // len(self.items), pair % len(self.items), start], axis=1)
 
     def _candidates(self, tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        placed = self._placed(tokens, rows)
+        prefix = WORDS.prefix(tokens)
+        placed = self._placed(prefix, rows)
         sizes = self.sizes[placed[:, 1]]
         # Walks may have left items this short; without edits there is nothing to choose by.
         chosen = sizes <= WORDS_PER_EDIT
         # Windows of similar length walk together.
-        for group in np.unique(np.ceil(np.log2(np.maximum(sizes, 2))).astype(int)):
-            members = np.flatnonzero(np.ceil(np.log2(np.maximum(sizes, 2))).astype(int) == group)
-            some, m = placed[members], sizes[members]
-            low, high = rows[some[:, 0]], rows[some[:, 0] + 1]
-            base = self.bases[some[:, 1]]
-            steps = _steps(int(m.max()))
-            if chosen[members].all():
-                continue
-            for walk in range(WALKS):
-                text = _walk(tokens, some[:, 2], m, low, high, walk, steps)
-                item = _walk(self.flat, base, m, base, base + m, walk, steps)
-                agree = (text == item) & (item != _NONE)
-                for size in np.unique(m):
-                    same = np.flatnonzero(m == size)
-                    rng = np.random.default_rng([walk, int(size)])
-                    shape = (self.turns[int(size)], min(SAMPLED, _steps(int(size))))
-                    sampled = rng.integers(0, _steps(int(size)), shape)
-                    met = agree[same][:, sampled].all(axis=2).any(axis=1)
-                    chosen[members[same]] |= met
+        lengths = np.ceil(np.log2(np.maximum(sizes, 2))).astype(int)
+        for group in np.unique(lengths[~chosen]):
+            members = np.flatnonzero((lengths == group) & ~chosen)
+            row, item, start = placed[members].T
+            low, high, m = rows[row], rows[row + 1], sizes[members]
+            begin, end = np.clip(start, low, high), np.clip(start + m, low, high)
+            # What a walker sees of the window: its words, and how many are missing before them.
+            seen = mix(WORDS.ranges(prefix, begin, end) ^ mix((item << 32 | (begin - start)) + 1))
+            _, first, same = np.unique(seen, return_index=True, return_inverse=True)
+            met = np.zeros(len(first), dtype=bool)
+            for at in range(0, len(first), WALKED):
+                some = first[at : at + WALKED]
+                met[at : at + WALKED] = self._agree(tokens, item[some], start[some], low[some], high[some])
+            chosen[members] = met[same]
         return placed[chosen]
 
+    def _agree(self, tokens: np.ndarray, items: np.ndarray, starts: np.ndarray, low, high) -> np.ndarray:
+        """Whether window and item agree in all sampled steps of some repetition."""
+        sizes, bases = self.sizes[items], self.bases[items]
+        steps = _steps(int(sizes.max()))
+        met = np.zeros(len(items), dtype=bool)
+        for walk in range(WALKS):
+            text = _walk(tokens, starts, sizes, low, high, walk, steps)
+            item = _walk(self.flat, bases, sizes, bases, bases + sizes, walk, steps)
+            agree = (text == item) & (item != _NONE)
+            for size in np.unique(sizes):
+                same = np.flatnonzero(sizes == size)
+                rng = np.random.default_rng([walk, int(size)])
+                shape = (self.turns[int(size)], min(SAMPLED, _steps(int(size))))
+                sampled = rng.integers(0, _steps(int(size)), shape)
+                met[same] |= agree[same][:, sampled].all(axis=2).any(axis=1)
+        return met
+
+    def _best(self, tokens: np.ndarray, item: int, low: int, high: int) -> tuple[int, int, int] | None:
+        """(edits, first word, end word) of the item's best passage in [low, high), if a leak."""
+        wanted = self.items[item]
+        slack = max_edits(len(wanted))
+        longest = len(wanted) + slack
+        best = None
+        for at in range(low, high, VERIFIED):
+            edits, end = distance(wanted, tokens[at : min(high, at + VERIFIED + longest)])
+            if edits > slack or (best and edits >= best[0]):
+                continue
+            end += at
+            begin = max(low, end - longest)
+            _, length = distance(wanted[::-1], tokens[begin:end][::-1])
+            best = (edits, end - length, end)
+        return best
+
     def leaks(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, edits, first word, end word) of the best passage of each row and item."""
         if not len(self.flat):
@@ -209,21 +249,23 @@ class Items:
             if not len(words.starts):
                 continue
             tokens, rows = words.hashes(), words.rows
+            row, item, place = self._candidates(tokens, rows).T
+            slack = np.array([max_edits(int(n)) for n in self.sizes])[item]
+            low = np.maximum(rows[row], place - slack)
+            high = np.minimum(rows[row + 1], place + self.sizes[item] + slack)
+            # Candidates are in order of row, item, place: those that overlap follow each other.
+            apart = (np.diff(row) != 0) | (np.diff(item) != 0) | (low[1:] >= high[:-1])
+            starts = np.flatnonzero(np.concatenate([[True], apart])) if len(row) else row
+            ends = np.append(starts[1:], len(row))[: len(starts)] - 1
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for row, item, place in self._candidates(tokens, rows).tolist():
-                wanted = self.items[item]
-                slack = max_edits(len(wanted))
-                low = max(int(rows[row]), place - slack)
-                high = min(int(rows[row + 1]), place + len(wanted) + slack)
-                edits, end = distance(wanted, tokens[low:high])
-                if edits > slack:
-                    continue
-                back, length = distance(wanted[::-1], tokens[low : low + end][::-1])
-                start = low + end - length
-                found = (edits, start - int(rows[row]), low + end - int(rows[row]))
-                best[row, item] = min(found, best.get((row, item), found))
-            for (row, item), found in sorted(best.items()):
-                yield first + row, item, *found
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                key, origin = (int(row[a]), int(item[a])), int(rows[row[a]])
+                found = self._best(tokens, key[1], int(low[a]), int(high[b]))
+                if found:
+                    found = (found[0], found[1] - origin, found[2] - origin)
+                    best[key] = min(found, best.get(key, found))
+            for key, found in sorted(best.items()):
+                yield first + key[0], key[1], *found
 
 
 def _blocks(benchmark: DataFrame, recall: float) -> Iterator[Items]:
@@ -242,8 +284,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL) ->
     """doc_id, tkey, item_id, item_words, edits, start, end: documents and the items they leak.
 
     One row for each row of `docs` and each item of which it holds a passage fewer than
-    item_words / 5 edits away, with the best passage as a half-open range of words (the earliest of
-    equal ones). Items without words leak nowhere; equal items are reported each under its id, and
+    item_words / 5 edits away, with the best passage as a half-open range of words (of equal ones
+    about the earliest: in a run of overlapping windows the first to end, and the shortest). Items without words leak nowhere; equal items are reported each under its id, and
     a missing item_id stays missing. Columns other than doc_id, text, item_id are ignored.
     """
     spark = prepare(docs.sparkSession)
