@@ -30,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.rows import KEY, KEY_TYPES, doc_id, keyed, packed, prepare, unpacked
-from tripflow.llm.text import BYTES, lowest_in_window, mix, signed, texts_of
+from tripflow.llm.rows import KEY, KEY_TYPES, doc_id, keyed, lists, packed, prepare, unpacked
+from tripflow.llm.text import BYTES, CHUNK_BYTES, lowest_in_window, mix, signed, texts_of
 from tripflow.session import durable
 
 #: What tells rows apart but for texts of one checksum: enough to name places to look at.
 ABOUT = ["ord", "tkey"]
 LENGTH = 100
 TRIGGER = 16
+#: Bytes of text worked on at once: their hashes stay in a core's cache.
+PIECE = 200_000
 #: Phrases of one trigger that a task takes at once: some 2 MB. More are counted by the cluster.
 GROUP = 8192
 #: Phrases of one trigger that are compared byte by byte; more go by the hashes of their strings.
@@ -70,7 +72,7 @@ class _Parse:
 def _scan(length: int, trigger: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in texts_of(batch.column("text")):
+            for first, data, offsets in texts_of(batch.column("text"), PIECE):
                 parse = _Parse(data, offsets, length, trigger)
                 row = pa.array(parse.row + first)
                 yield pa.RecordBatch.from_arrays(
@@ -89,7 +91,7 @@ def _phrases(length: int, trigger: int):
     def phrases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column("places")
-            for first, data, offsets in texts_of(unpacked(batch.column("packed"))):
+            for first, data, offsets in texts_of(unpacked(batch.column("packed")), PIECE):
                 parse = _Parse(data, offsets, length, trigger)
                 piece = places.slice(first, len(offsets) - 1)
                 lengths = np.asarray(piece.value_lengths())
@@ -117,122 +119,190 @@ def _phrases(length: int, trigger: int):
     return phrases
 
 
-def _spell(length: int):
-    """Adds the bytes of phrases."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """Of a column of lists of structs: the row of each entry, and the entries by field."""
+    entries = column.flatten()
+    names = [field.name for field in entries.type]
+    rows = np.repeat(np.arange(len(column)), np.asarray(column.value_lengths()))
+    return rows, dict(zip(names, entries.flatten()))
+
+
+def _binary(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
+
+
+def _along(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each of the sizes."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _spell(length: int, most: int):
+    """Adds the bytes of phrases; `most` phrases leave at once."""
 
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = unpacked(batch.column("packed"))
-            rows, entries, spelled = [], [], []
-            for i, found in enumerate(batch.column("apart").to_pylist()):
-                raw = texts[i].as_py()
-                for p in found:
-                    rows.append(i)
-                    entries.append(p)
-                    spelled.append(raw[p["begin"] : p["begin"] + p["count"] + length - 1])
-            which = pa.array(rows, pa.int64())
-            kinds = {"trigger": pa.int64(), "n": pa.int64()}
-            kinds |= {name: pa.int32() for name in ("begin", "count", "before")}
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(k).take(which) for k in KEY),
-                    *(pa.array([p[n] for p in entries], k) for n, k in kinds.items()),
-                    pa.array(spelled, pa.binary()),
-                ],
-                names=[*KEY, *kinds, "bytes"],
-            )
+            apart = batch.column("apart")
+            for first, data, offsets in texts_of(unpacked(batch.column("packed")), PIECE):
+                rows, entries = _flat(apart.slice(first, len(offsets) - 1))
+                for k in range(0, len(rows), most):
+                    some = {name: column.slice(k, most) for name, column in entries.items()}
+                    row = rows[k : k + most]
+                    starts = offsets[row] + np.asarray(some["begin"])
+                    sizes = np.asarray(some["count"]).astype(np.int64) + length - 1
+                    spelled = data[np.repeat(starts, sizes) + _along(sizes)]
+                    which = pa.array(row + first)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(name).take(which) for name in KEY),
+                            *some.values(),
+                            _binary(sizes, spelled),
+                        ],
+                        names=[*KEY, *some, "bytes"],
+                    )
 
     return spell
 
 
-def _runs(gone: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]).astype(np.int8))).tolist()
-    return list(zip(edges[::2], edges[1::2]))
+class _Group:
+    """Phrases in the order of their triggers and of the corpus, without repeats of one row."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        batch = pa.concat_batches(batches)
+        new = np.ones(len(batch), dtype=bool)
+        if len(batch):
+            new[1:] = False
+        for name in ("trigger", *KEY, "begin"):
+            column = np.asarray(batch.column(name))
+            new[1:] |= column[1:] != column[:-1]
+        self.batch = batch if new.all() else batch.filter(pa.array(new))
+        trigger = self.column("trigger")
+        self.borders = np.flatnonzero(np.concatenate([[True], trigger[1:] != trigger[:-1], [True]]))
+
+    def column(self, name: str) -> np.ndarray:
+        return np.asarray(self.batch.column(name))
+
 
+def _bytes_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    column = batch.column("bytes")
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset :][: len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8), offsets.astype(np.int64)
 
-def _by_hash(group: list[dict], length: int) -> Iterator[tuple[int, ...]]:
-    """The same as comparing the phrases of a sorted group, for many of them."""
-    data = np.frombuffer(b"".join(p["bytes"] for p in group), dtype=np.uint8)
+
+def _strings(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all strings of phrases: phrase, place in it, and hash."""
+    data, offsets = _bytes_of(batch)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
     windows = BYTES.windows(BYTES.prefix(BYTES.letters[data]), length)
-    counts = np.array([p["count"] for p in group])
-    starts = np.cumsum([0] + [len(p["bytes"]) for p in group])[:-1]
-    base = np.cumsum(counts) - counts
-    strings = windows[np.arange(counts.sum()) + np.repeat(starts - base, counts)]
-    # Strings stand in the order of the corpus, so the first of equal ones is the earliest.
-    gone = np.ones(len(strings), dtype=bool)
-    gone[np.unique(strings, return_index=True)[1]] = False
-    for p, first, count in zip(group, base.tolist(), counts.tolist()):
-        for a, b in _runs(gone[first : first + count]):
-            yield *(p[k] for k in KEY), p["begin"] + a, p["begin"] + b
+    counts = np.diff(offsets) - length + 1
+    row, along = np.repeat(np.arange(len(counts)), counts), _along(counts)
+    return row, along, windows[offsets[:-1][row] + along]
+
+
+def _found(batch: pa.RecordBatch, rows: np.ndarray, low, high, string=None) -> pa.RecordBatch:
+    """Ranges of first bytes of strings, or strings that the cluster is to count."""
+    which = pa.array(rows)
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    trigger = pa.nulls(len(rows), pa.int64())
+    if string is None:
+        string = trigger
+    else:
+        trigger, string = batch.column("trigger").take(which), pa.array(signed(string))
+    begin = np.asarray(batch.column("begin"))[rows]
+    ends = [pa.array((begin + x).astype(np.int32)) for x in (low, high)]
+    found = [x.cast(kind) for x, kind in zip([trigger, string, *ends], kinds)]
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(name).take(which) for name in KEY), *found],
+        names=[*KEY, "trigger", "string", "low", "high"],
+    )
 
 
-def _shared(length: int, trigger: int, pairwise: int):
-    """Strings of each phrase of a group that an earlier phrase of the group also has."""
+def _by_hash(batch: pa.RecordBatch, group: np.ndarray, length: int) -> pa.RecordBatch:
+    """The same as comparing the phrases of each group, for many of them."""
+    row, along, strings = _strings(batch, length)
+    # Strings stand in the order of the groups and, there, of the corpus: the first of equal ones is
+    # the earliest.
+    order = np.argsort(strings, kind="stable")
+    sorted_strings, of = strings[order], group[row[order]]
+    gone = np.zeros(len(strings), dtype=bool)
+    gone[order[1:]] = (sorted_strings[1:] == sorted_strings[:-1]) & (of[1:] == of[:-1])
+    edge = np.concatenate([[True], row[1:] != row[:-1], [True]])
+    begins = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
+    ends = np.flatnonzero(gone & (edge[1:] | ~np.concatenate([gone[1:], [False]])))
+    return _found(batch, row[begins], along[begins], along[ends] + 1)
+
+
+def _by_bytes(batch: pa.RecordBatch, rank: np.ndarray, length: int, trigger: int) -> pa.RecordBatch:
+    """Compares each phrase with the `rank` ones of its group before it."""
     left = length - trigger
+    before, count = (np.asarray(batch.column(name)) for name in ("before", "count"))
+    data, offsets = _bytes_of(batch)
+    # Bytes by their distance from the trigger; nothing equals what lies outside a phrase.
+    around = np.empty((len(batch), left + length), dtype=np.int16)
+    around[:] = -1 - (np.arange(len(batch)) % (1 << 14))[:, None]
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(batch)), sizes)
+    around[row, np.repeat(left - before, sizes) + _along(sizes)] = data[offsets[0] : offsets[-1]]
+    # A string that begins d bytes before the trigger is shared if d bytes to the left and
+    # length - d to the right agree: where such ranges of d begin and where they have ended.
+    edges = np.zeros((len(batch), left + 2), dtype=np.int16)
+    stop = np.zeros((len(batch), 1), dtype=bool)
+    for back in range(1, int(rank.max(initial=0)) + 1):
+        here = np.flatnonzero(rank >= back)
+        same = around[here] == around[here - back]
+        end = stop[: len(here)]
+        low = length - np.hstack([same[:, left:], end]).argmin(axis=1)
+        high = np.hstack([same[:, :left][:, ::-1], end]).argmin(axis=1)
+        some = np.flatnonzero(low <= high)
+        edges[here[some], low[some]] += 1
+        edges[here[some], high[some] + 1] -= 1
+    gone = np.zeros((len(batch), left + 3), dtype=np.int8)
+    gone[:, 1:-1] = edges[:, :-1].cumsum(axis=1) > 0
+    turns = np.diff(gone, axis=1)
+    row, near = np.nonzero(turns == 1)
+    far = np.nonzero(turns == -1)[1]
+    return _found(batch, row, before[row] - far + 1, before[row] - near + 1)
 
-    def repeats(group: list[dict]) -> Iterator[tuple[int, ...]]:
-        m = len(group)
-        group.sort(key=lambda p: tuple(p[k] for k in (*KEY, "begin")))
-        if m > pairwise:
-            yield from _by_hash(group, length)
-            return
-        # Bytes by their distance from the trigger; nothing equals what lies outside a phrase.
-        around = np.empty((m, left + length), dtype=np.int16)
-        around[:] = -1 - np.arange(m)[:, None]
-        for k, p in enumerate(group):
-            start = left - p["before"]
-            around[k, start : start + len(p["bytes"])] = np.frombuffer(p["bytes"], dtype=np.uint8)
-        for k in range(1, m):
-            same = around[:k] == around[k]
-            stop = np.zeros((k, 1), dtype=bool)
-            to_left = np.hstack([same[:, :left][:, ::-1], stop]).argmin(axis=1)
-            to_right = np.hstack([same[:, left:], stop]).argmin(axis=1)
-            p = group[k]
-            gone = np.zeros(p["count"], dtype=bool)
-            # A string that begins d bytes before the trigger is shared if d bytes to the left and
-            # length - d to the right agree.
-            low, high = np.maximum(length - to_right, 0), to_left
-            for a, b in set(zip(low.tolist(), high.tolist())):
-                first, last = max(0, p["before"] - b), min(p["count"] - 1, p["before"] - a)
-                if a <= b and first <= last:
-                    gone[first : last + 1] = True
-            for a, b in _runs(gone):
-                yield *(p[k] for k in KEY), p["begin"] + a, p["begin"] + b
 
-    def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [r for group in batch.column("group").to_pylist() for r in repeats(group)]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-            columns = list(zip(*out)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*KEY, "low", "high"]
-            )
+def _shared(length: int, trigger: int, pairwise: int):
+    """Strings of each phrase of a group that an earlier phrase of the group also has.
 
-    return shared
+    Phrases come in the order of their triggers. A few groups are looked at together, and one that
+    may go on is held back; the strings of phrases that are `spread` are handed on.
+    """
 
+    def within(found: _Group, groups: int) -> Iterator[pa.RecordBatch]:
+        borders = found.borders[: groups + 1]
+        sizes = np.diff(borders)
+        group, rank = np.repeat(np.arange(groups), sizes), _along(sizes)
+        batch = found.batch.slice(0, borders[-1])
+        few = np.repeat(sizes <= pairwise, sizes)
+        if few.any():
+            yield _by_bytes(batch.filter(pa.array(few)), rank[few], length, trigger)
+        if not few.all():
+            yield _by_hash(batch.filter(pa.array(~few)), group[~few], length)
 
-def _strings(length: int):
-    def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for first, data, offsets in texts_of(batch.column("bytes").cast(pa.large_binary())):
-                windows = BYTES.windows(BYTES.prefix(BYTES.letters[data]), length)
-                counts = np.diff(offsets) - length + 1
-                row = np.repeat(np.arange(len(counts)), counts)
-                along = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-                piece = batch.slice(first, len(counts))
-                which = pa.array(row)
-                begin = np.asarray(piece.column("begin"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(piece.column(k).take(which) for k in KEY),
-                        piece.column("trigger").take(which),
-                        pa.array(signed(windows[offsets[:-1][row] + along])),
-                        pa.array((begin[row] + along).astype(np.int32)),
-                    ],
-                    names=[*KEY, "trigger", "string", "low"],
-                )
+            spread = np.asarray(batch.column("spread"))
+            if spread.any():
+                hot = batch.filter(pa.array(spread))
+                row, along, strings = _strings(hot, length)
+                yield _found(hot, row, along, along + 1, strings)
+                batch = batch.filter(pa.array(~spread))
+            held.append(batch)
+            if sum(x.nbytes for x in held) >= CHUNK_BYTES:
+                found = _Group(held)
+                last = len(found.borders) - 2
+                yield from within(found, last)
+                held = [found.batch.slice(found.borders[last])]
+        if sum(map(len, held)):
+            found = _Group(held)
+            yield from within(found, len(found.borders) - 1)
 
-    return strings
+    return shared
 
 
 def repeats(
@@ -270,42 +340,41 @@ def repeats(
     # with other phrases around their trigger.
     here = F.struct(*KEY, "begin") == F.col("first")
     high = (F.col("begin") + F.col("count")).alias("high")
+    spread = (F.col("n") > group).alias("spread")
     of_doc = durable(
         phrases.join(known, ["trigger", "content"])
         .where(~here | F.col("n").isNotNull())
         .select(
             *KEY,
             F.when(~here, F.struct(F.col("begin").alias("low"), high)).alias("later"),
-            F.when(here, F.struct("trigger", "n", "begin", "count", "before")).alias("apart"),
+            F.when(here, F.struct("trigger", spread, "begin", "count", "before")).alias("apart"),
         )
         .groupBy(*KEY)
         .agg(F.collect_set("later").alias("later"), F.collect_set("apart").alias("apart")),
         "parse",
     )
-    spelled = durable(
+    spelled = (
         packed(rows)
         .join(of_doc.where(F.size("apart") > 0).select(*KEY, "apart"), KEY)
         .mapInArrow(
-            _spell(length),
-            f"{KEY_TYPES}, trigger long, n long, begin int, count int, before int, bytes binary",
-        ),
-        "spelled",
-    )
-    spans = f"{KEY_TYPES}, low int, high int"
-    in_place = (
-        spelled.where(F.col("n") <= group)
-        .groupBy("trigger")
-        # A set: equal rows of the table are one document.
-        .agg(F.collect_set(F.struct(*KEY, "begin", "count", "before", "bytes")).alias("group"))
-        .select("group")
-        .mapInArrow(_shared(length, trigger, pairwise), spans)
+            _spell(length, GROUP),
+            f"{KEY_TYPES}, trigger long, spread boolean, begin int, count int, before int, "
+            "bytes binary",
+        )
     )
-    strings = durable(
-        spelled.where(F.col("n") > group)
-        .select(*KEY, "trigger", "begin", "bytes")
-        .mapInArrow(_strings(length), f"{KEY_TYPES}, trigger long, string long, low int"),
-        "strings",
+    # Phrases of one trigger meet in one task, but for those of which only strings are counted.
+    salt = F.when(F.col("spread"), F.xxhash64(*KEY, "begin"))
+    found = durable(
+        spelled.repartition("trigger", salt)
+        .sortWithinPartitions("trigger", *KEY, "begin")
+        .mapInArrow(
+            _shared(length, trigger, pairwise),
+            f"{KEY_TYPES}, trigger long, string long, low int, high int",
+        ),
+        "found",
     )
+    in_place = found.where("trigger IS NULL").select(*KEY, "low", "high")
+    strings = found.where("trigger IS NOT NULL").drop("high")
     earliest = durable(
         strings.groupBy("trigger", "string")
         .agg(F.min(F.struct(*KEY, "low")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -324,27 +393,35 @@ def repeats(
 def _cut(length: int):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = unpacked(batch.column("packed"))
-            sizes, kept, spans = [], [], []
-            for i, found in enumerate(batch.column("spans").to_pylist()):
-                raw = np.frombuffer(texts[i].as_py(), dtype=np.uint8)
-                keep = np.ones(len(raw), dtype=bool)
-                for s in found:
-                    keep[s["low"] : s["high"] + length - 1] = False
-                edges = np.flatnonzero(np.diff(np.concatenate(([1], keep, [1])).astype(np.int8)))
-                sizes.append(len(raw))
-                kept.append(raw[keep].tobytes())
-                spans.append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
-            ends = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(k) for k in KEY),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(kept, pa.binary()),
-                    pa.array(spans, pa.list_(ends)),
-                ],
-                names=[*KEY, "n_bytes", "kept", "removed"],
-            )
+            spans = batch.column("spans")
+            for first, data, offsets in texts_of(unpacked(batch.column("packed")), PIECE):
+                n = len(offsets) - 1
+                rows, entries = _flat(spans.slice(first, n))
+                depth = np.zeros(len(data) + 1, dtype=np.int32)
+                np.add.at(depth, offsets[rows] + np.asarray(entries["low"]), 1)
+                np.add.at(depth, offsets[rows] + np.asarray(entries["high"]) + length - 1, -1)
+                keep = depth.cumsum()[:-1] == 0
+                # Runs of removed bytes end with their text.
+                border = np.zeros(len(data) + 1, dtype=bool)
+                border[offsets] = True
+                near = ~keep & (border[:-1] | np.concatenate([[True], keep])[:-1])
+                far = ~keep & (border[1:] | np.concatenate([keep, [True]])[1:])
+                starts, ends = np.flatnonzero(near), np.flatnonzero(far) + 1
+                row = np.searchsorted(offsets, starts, side="right") - 1
+                runs = [pa.array((x - offsets[row]).astype(np.int32)) for x in (starts, ends)]
+                left = np.concatenate([[0], np.cumsum(keep)])[offsets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(k).slice(first, n) for k in KEY),
+                        pa.array(np.diff(offsets)),
+                        _binary(np.diff(left), data[keep]),
+                        lists(
+                            np.bincount(row, minlength=n),
+                            pa.StructArray.from_arrays(runs, names=["start", "end"]),
+                        ),
+                    ],
+                    names=[*KEY, "n_bytes", "kept", "removed"],
+                )
 
     return cut
 

@@ -93,10 +93,12 @@ WORDS = _roller(23)
 BYTES2 = _roller(37)
 
 
-def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def texts_of(
+    column: pa.Array | pa.ChunkedArray, most: int = CHUNK_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Pieces of a string column: number of the first row, bytes, and offsets of its rows.
 
-    A missing text counts as empty.
+    A missing text counts as empty. A piece has up to `most` bytes, or one text.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -113,7 +115,7 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarr
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
         last = min(max(last, first + 1), len(column))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
@@ -190,16 +192,18 @@ def lowest_in_window(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the lowest value (the first of equal ones) in each run of `width` values.
 
     Values count by their upper 33 bits, so two runs of the same values choose the same place. The
-    lowest of a run is that of the end of one block of `width` values and the start of the next.
+    lowest of a run is the lower of those of two shorter runs that cover it, whose lengths double.
     """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    places = np.arange(len(values), dtype=np.uint64)
-    packed = np.full(-(-len(values) // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    packed[: len(values)] = (values >> _PLACE_BITS << _PLACE_BITS) | places
-    blocks = packed.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    low = np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
-    return (low & np.uint64((1 << 31) - 1)).astype(np.int64)
+    low = values >> _PLACE_BITS
+    low <<= _PLACE_BITS
+    low |= np.arange(len(values), dtype=np.uint64)
+    covered = 1
+    while covered < width:
+        step = min(covered, width - covered)
+        low = np.minimum(low[:-step], low[step:])
+        covered += step
+    low &= np.uint64((1 << 31) - 1)
+    return low.astype(np.int64)
